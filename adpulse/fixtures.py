@@ -275,3 +275,70 @@ def customer_points(spark, sf_dir, offset: int = 0) -> DataFrame:
 
 def customer_points_sql(offset: int = 0) -> str:
     return f"SELECT {_sql_select(_points_exprs(offset))} FROM customer"
+
+
+# ---------------------------------------------------------------------------
+# F5 nested documents (API search results) built from customer x nation x region
+# ---------------------------------------------------------------------------
+def customer_api_docs(spark, sf_dir) -> DataFrame:
+    """One nested ad document (JSON text) per customer: area of 4 parts, of
+    2 parts every 5th, none every 17th; no company every 11th; no location
+    every 13th."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    k = F.col("c_custkey")
+    area = (F.when(k % 17 == 0, F.lit(None).cast("array<string>"))
+            .when(k % 5 == 0, F.array(F.lit("US"), F.col("r_name")))
+            .otherwise(F.array(F.lit("US"), F.col("r_name"), F.col("n_name"), F.col("c_mktsegment"))))
+    company = F.when(k % 11 != 0, F.struct(F.col("c_name").alias("display_name")))
+    location = F.when(k % 13 != 0, F.struct(F.col("n_name").alias("display_name"), area.alias("area")))
+    doc = F.struct(
+        k.cast("string").alias("id"), F.col("c_mktsegment").alias("title"),
+        F.col("c_name").alias("description"), F.col("c_acctbal").alias("salary_min"),
+        F.concat(F.lit("https://ads.example/c/"), k.cast("string")).alias("redirect_url"),
+        company.alias("company"), location.alias("location"),
+        F.struct(F.col("r_name").alias("label"), F.lower("r_name").alias("tag")).alias("category"))
+    return j.select(k.alias("doc_id"), F.to_json(doc).alias("doc_text"))
+
+
+def order_gov_docs(spark, sf_dir) -> DataFrame:
+    """One government-jobs response per order: two items (none every 7th),
+    each with two locations (none every 3rd)."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+
+    def item(i: int):
+        locs = F.array(F.struct(F.concat(F.lit("Loc "), (F.col("o_custkey") % 50).cast("string"))
+                                .alias("LocationName")),
+                       F.struct(F.lit("Remote").alias("LocationName")))
+        locs = F.when(k % 3 == 0, F.filter(locs, lambda _: F.lit(False))).otherwise(locs)
+        return F.struct(F.struct(
+            F.concat(F.col("o_orderpriority"), F.lit(f" #{i}")).alias("PositionTitle"),
+            F.concat(F.lit("Org "), (F.col("o_custkey") % 100).cast("string")).alias("OrganizationName"),
+            F.concat(F.lit("https://jobs.example/"), k.cast("string"), F.lit(f"/{i}")).alias("PositionURI"),
+            locs.alias("PositionLocation")).alias("MatchedObjectDescriptor"))
+
+    items = F.array(item(1), item(2))
+    items = F.when(k % 7 == 0, F.filter(items, lambda _: F.lit(False))).otherwise(items)
+    doc = F.struct(F.struct(items.alias("SearchResultItems")).alias("SearchResult"))
+    return o.select(k.alias("doc_id"), F.to_json(doc).alias("doc_text"))
+
+
+def order_result_lists(spark, sf_dir) -> DataFrame:
+    """One flat ``results[]`` search response per order, three ads each."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+
+    def ad(i: int):
+        return F.struct(
+            F.concat(F.col("o_orderpriority"), F.lit(f" role {i}")).alias("title"),
+            F.struct(F.concat(F.lit("Co"), (F.col("o_custkey") % 17).cast("string")).alias("display_name"))
+            .alias("company"),
+            F.struct(F.concat(F.lit("Place "), (F.col("o_custkey") % 30).cast("string")).alias("display_name"))
+            .alias("location"),
+            F.concat(F.lit("https://ads.example/o/"), k.cast("string"), F.lit(f"/{i}")).alias("redirect_url"))
+
+    return o.select(k.alias("doc_id"), F.to_json(F.struct(F.array(ad(1), ad(2), ad(3)).alias("results")))
+                    .alias("doc_text"))

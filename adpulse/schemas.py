@@ -93,6 +93,14 @@ GOV_RESULT_SCHEMA = StructType([
     ])),
 ])
 
+# Flat search response: ``results[]`` of ads.
+RESULT_LIST_SCHEMA = StructType([StructField("results", ArrayType(StructType([
+    StructField("title", StringType()),
+    StructField("company", _s(("display_name", StringType()))),
+    StructField("location", _s(("display_name", StringType()))),
+    StructField("redirect_url", StringType()),
+])))])
+
 CAMPAIGN_SCHEMA = _s(("campaign_id", LongType()), ("company_name", StringType()),
                      ("state", StringType()), ("cpa_target", IntegerType()),
                      ("budget", IntegerType()), ("margin", DoubleType()))
