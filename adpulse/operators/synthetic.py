@@ -79,8 +79,13 @@ def add_click_counts(df: DataFrame, keys=("job_id", "date"), mode="keyed", salt=
     return d.detach(d.attach(df).withColumn("num_clicks", click_count(d.uniform(0), lo, hi)))
 
 
+# '00'..'59': a constant array, so a field is a lookup, not a cast and a pad.
+_TWO_DIGITS = [f"{v:02d}" for v in range(60)]
+
+
 def _two_digits(u: Column, n: int) -> Column:
-    return F.lpad(F.floor(u * F.lit(float(n))).cast("int").cast("string"), 2, "0")
+    idx = F.floor(u * F.lit(float(n))).cast("int") + F.lit(1)
+    return F.element_at(F.array(*[F.lit(v) for v in _TWO_DIGITS[:n]]), idx)
 
 
 def time_string(u_h: Column, u_m: Column, u_s: Column) -> Column:
@@ -94,18 +99,25 @@ def click_id(job_id="job_id", date="date", idx="click_idx") -> Column:
                        F.col(idx).cast("string"))
 
 
-def add_click_columns(df: DataFrame, keys=("job_id", "date", "click_idx"), mode="keyed",
-                      salt="click", seed=None, cost_sd=COST_SD, p_mean=APPLICANT_P_MEAN,
-                      p_sd=APPLICANT_P_SD) -> DataFrame:
-    """R6-R10 on click rows that carry ``bid``."""
+def click_draws(keys=("job_id", "date"), counter="click_idx", salt="click") -> Draws:
+    """Draws of one click: seeds per job-day, the click number as counter."""
+    return Draws(salt, list(keys), uniforms=7, normals=2, counter=counter)
+
+
+def add_click_columns(df: DataFrame, mode="keyed", draws: Draws | None = None, seed=None,
+                      cost_sd=COST_SD, p_mean=APPLICANT_P_MEAN, p_sd=APPLICANT_P_SD) -> DataFrame:
+    """R6-R10 on click rows that carry ``bid`` (and, keyed, the seeds of
+    ``draws`` attached to their job-day)."""
     if mode == "native":
         s = (lambda i: None) if seed is None else (lambda i: seed + i)
         u = [F.rand(s(i)) for i in range(7)]
         z = [F.randn(s(7)), F.randn(s(8))]
         d = None
     else:
-        d = Draws(salt, list(keys), uniforms=7, normals=2)
-        df = d.attach(df)
+        d = draws or click_draws()
+        if d.seed_cols[0] not in df.columns:
+            df = d.attach(df)
+        df = d.words(df)
         u = [d.uniform(i) for i in range(7)]
         z = [d.normal(0), d.normal(1)]
     p = clamp(z[1] * F.lit(p_sd) + F.lit(p_mean), 0.0, 1.0)
