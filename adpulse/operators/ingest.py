@@ -78,7 +78,8 @@ def flatten_result_list(docs: DataFrame, doc_col: str = "doc", id_col: str = "do
 
 def rename_cast(raw: DataFrame) -> DataFrame:
     """Renames, text -> double via try_cast (bad text -> null under
-    ANSI), created -> timestamp, flag -> boolean, the rest forced to string."""
+    ANSI), created -> timestamp, flag -> boolean, the rest forced to string.
+    Columns beyond the raw fields (e.g. a landing day) are passed through."""
     df = raw.withColumnsRenamed({k: v for k, v in RENAMES.items() if k in raw.columns})
     created = F.col("created")
     if dict(df.dtypes).get("created") == "string":
@@ -87,7 +88,8 @@ def rename_cast(raw: DataFrame) -> DataFrame:
     casts.update({c: F.col(c).try_cast("double") for c in DOUBLE_COLUMNS})
     casts["salary_is_predicted"] = flag_to_bool("salary_is_predicted")
     casts.update({c: F.col(c).cast("string") for c in STRING_COLUMNS})
-    return df.withColumns(casts).select(*STAGE1_COLUMNS)
+    extras = [c for c in df.columns if c not in STAGE1_COLUMNS]
+    return df.withColumns(casts).select(*STAGE1_COLUMNS, *extras)
 
 
 def ingest(raw: DataFrame) -> DataFrame:

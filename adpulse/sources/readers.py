@@ -22,12 +22,14 @@ def read_raw_json(spark: SparkSession, path: str, schema: StructType = RAW_SCHEM
 
 def read_raw_json_quarantine(spark: SparkSession, path: str,
                              schema: StructType = RAW_SCHEMA) -> tuple[DataFrame, DataFrame]:
-    """S1 with broken lines routed aside: (good rows, broken raw lines)."""
+    """S1 with broken lines routed aside: (good rows, broken rows with their
+    raw text in ``_corrupt_record``).  Spark refuses queries that read only
+    the corrupt-record column of a raw file, so broken rows keep all fields."""
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
     df = (spark.read.schema(full).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    bad = df.filter(F.col(CORRUPT).isNotNull())
     return good, bad
 
 
