@@ -476,3 +476,35 @@ SELECT o_custkey, o_orderkey, o_orderdate, rank FROM (
 def latest_k_per_search(spark, sf_dir):
     o = fx.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     return search.latest_k(o, ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], 20)
+
+
+def _final_sql() -> str:
+    from adpulse.functions.keyed_random import SqlDraws
+    from adpulse.plans.q_synthetic import _bid_sql
+
+    d = SqlDraws("bid", ["id"], normals=1)
+    tod = _TOD.replace("hour(created)", "hour(created_ts)")
+    return f"""
+WITH s2 AS ({_stage2_sql()}),
+s3 AS (SELECT id, created, location_display_name, country, state, county, city, latitude, longitude,
+              COALESCE(contract_time, 'full_time') AS contract_time, category_label, company_name, title,
+              description, salary_is_predicted, salary_min, salary_max, redirect_url,
+              CAST(created AS TIMESTAMP) AS created_ts
+       FROM s2)
+SELECT id, created, location_display_name, country, state, county, city, latitude, longitude, contract_time,
+       category_label, company_name, title, description, salary_is_predicted, salary_min, salary_max,
+       redirect_url, created_ts, CAST(created_ts AS DATE) AS created_date,
+       CAST(hour(created_ts) AS INTEGER) AS created_hour, {tod} AS created_time_of_day,
+       COALESCE(regexp_matches(lower(description), 'bonus|benefit'), false) AS has_bonus_or_benefit,
+       {_bid_sql(d.normal(0))} AS bid
+FROM (SELECT *, {d.hash_select()} FROM s3)"""
+
+
+@register("final_ads", _final_sql())
+def final_ads(spark, sf_dir):
+    """C1-C4 fused: stage-1 ads -> stage 2 -> stage 3 -> final (bid)."""
+    from adpulse.operators.stages import finalize
+
+    ads = fx.events_as_ads(spark, sf_dir, dup=True)
+    final = finalize(add_features(clean_and_locate(ads, fx.supplier_places(spark, sf_dir))))
+    return _ntz(final, "created_ts")

@@ -61,3 +61,12 @@ def read_search_csv(spark: SparkSession, path: str) -> DataFrame:
     """Search list CSV; the space after each comma is dropped."""
     return (spark.read.schema(SEARCH_SCHEMA).option("header", True)
             .option("ignoreLeadingWhiteSpace", True).csv(path))
+
+
+def register_views(spark: SparkSession, base: str, year: int, month: int,
+                   tables=("jobs", "campaigns", "clicks", "performance")) -> list[str]:
+    """Temp views over one month of the stored tables (for SQL users)."""
+    for name in tables:
+        read_month(spark, f"{base}/{name}", year, month).drop("year", "month") \
+            .createOrReplaceTempView(name)
+    return list(tables)
