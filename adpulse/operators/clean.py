@@ -34,24 +34,40 @@ def _order_number(c: Column, dtype: str) -> Column:
 
 
 def forward_fill(df: DataFrame, col: str, order_col: str, partition_cols: Sequence[str] = (),
-                 block: int = 100_000, out: str | None = None) -> DataFrame:
+                 block: int | None = None, n_blocks: int = 100_000, out: str | None = None) -> DataFrame:
     """``last(col, ignorenulls)`` over ``partition_cols`` ordered by
     ``order_col`` (UNBOUNDED PRECEDING .. CURRENT ROW), in two levels.
 
-    Rows are cut into blocks of ``block`` consecutive order values, so one
-    partition value holding most rows still spreads over many window tasks:
+    Rows are cut into blocks of consecutive order values, so one partition
+    value holding most rows still spreads over many window tasks:
 
     1. fill inside each (partition, block);
     2. per (partition, block) keep the last non-null value - a table with one
        row per block - and carry it forward across blocks with a window over
        that small table;
     3. rows still null after step 1 take the carry of their block.
+
+    The block width is ``block`` order units, or the key range divided into
+    ``n_blocks`` (min and max come from scalar subqueries, no driver round
+    trip), which bounds the carry table by ``n_blocks`` rows per partition.
+
+    Ordering by the filled column itself is the identity (nulls sort first,
+    and a non-null row is its own last non-null value), so it returns the
+    input unchanged without planning any window.
     """
     out = out or col
+    if order_col == col:
+        return df if out == col else df.withColumn(out, F.col(col))
     dtypes = dict(df.dtypes)
     parts = list(partition_cols)
     key = _order_number(F.col(order_col), dtypes[order_col])
-    x = df.withColumn("__blk", F.floor(key / F.lit(block)))
+    if block is not None:
+        x = df.withColumn("__blk", F.floor(key / F.lit(block)))
+    else:
+        lo = df.agg(F.min(key)).scalar()
+        width = df.agg(F.greatest(F.lit(1), F.ceil((F.max(key) - F.min(key) + F.lit(1))
+                                                 / F.lit(n_blocks)))).scalar()
+        x = df.withColumn("__blk", F.floor((key - lo) / width))
     inner = (Window.partitionBy(*parts, "__blk").orderBy(F.col(order_col).asc_nulls_first())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumn("__local", F.last(col, ignorenulls=True).over(inner))
@@ -74,7 +90,7 @@ def forward_fill(df: DataFrame, col: str, order_col: str, partition_cols: Sequen
 def fill_created_reference(df: DataFrame, col: str = "created") -> DataFrame:
     """W1 exactly as the reference orders it: by ``created`` itself.  Nulls
     sort first, so there is never an earlier non-null value: nothing is filled
-    and each value stays as it was."""
+    and each value stays as it was (``forward_fill`` returns the input)."""
     return forward_fill(df, col, order_col=col)
 
 

@@ -2,12 +2,12 @@
 
 The reference joins campaigns x jobs x clicks first and aggregates afterwards,
 so every click row is copied once per campaign of its company before the
-GROUP BY.  Here clicks are aggregated per (job_id, date) first (map-side
-partial aggregation, one row per job-day), and only those rows go through the
-fan-out join.  The running "spend until yesterday" is a window evaluated on
-the same rows instead of a self join, and the per-campaign day totals are an
-aggregate joined back on (campaign_id, date), which AQE can split when one
-campaign-day is hot.
+GROUP BY, and it re-reads that join for the day totals and a self join for
+the running spend.  Here everything is computed on job-day rows (clicks
+aggregated per (job_id, date) with map-side partial aggregation): the running
+spend is a window per job, the day totals an aggregate per (company, date)
+joined back (AQE splits a hot company-day), and the campaign fan-out is the
+last join, producing the output rows directly.
 
 Money convention: spend is summed in the type of ``cost`` (DECIMAL in the
 fixtures, so the sums are exact), each sum is cast to double once, and all
@@ -39,52 +39,83 @@ def clicks_daily(clicks: DataFrame) -> DataFrame:
                  F.sum("is_applicant").cast("long").alias("applicants")))
 
 
-def clicks_agg(campaigns: DataFrame, jobs: DataFrame, clicks: DataFrame,
-               match_state: bool = False) -> DataFrame:
-    """Rows of the reference's clicks_agg CTE, one per (campaign, job, date).
+def _keys(match_state: bool) -> list[str]:
+    return ["company_name", "state"] if match_state else ["company_name"]
+
+
+def _campaign_cols(campaigns: DataFrame) -> DataFrame:
+    return campaigns.select("campaign_id", "company_name", "state", "cpa_target",
+                            F.col("budget").alias("campaign_budget"),
+                            F.col("margin").alias("campaign_margin"))
 
-    A job is credited to every campaign of its company (company-only join),
-    unless ``match_state`` also requires the campaign's state.  Campaign budget
-    and margin are carried along, so no second join to campaigns is needed.
+
+def job_daily(jobs: DataFrame, clicks: DataFrame, match_state: bool = False) -> DataFrame:
+    """One row per (job, date with clicks): the job's columns, the day's
+    totals and the running spend of the job's earlier rows.
+
+    "Spend until yesterday" of (campaign, job) only depends on the job - every
+    campaign of the company sees the same days - so the window runs here,
+    before any fan-out, partitioned by job (at most one row per day).
     """
     job_cols = ["job_id", "title", "city", "company_name"] + (["state"] if match_state else [])
-    camp = campaigns.select(
-        "campaign_id", "company_name", "state", "cpa_target",
-        F.col("budget").alias("campaign_budget"),
-        F.col("margin").alias("campaign_margin"))
-    daily = clicks_daily(clicks).join(jobs.select(*job_cols), "job_id")
-    keys = ["company_name", "state"] if match_state else ["company_name"]
-    return daily.join(camp, keys)
+    w = (Window.partitionBy("job_id").orderBy("date")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    return (clicks_daily(clicks).join(jobs.select(*job_cols), "job_id")
+            .withColumn("spend_until_yesterday_sum", F.sum("spend_sum").over(w)))
 
 
-def campaign_stats(rows: DataFrame) -> DataFrame:
-    """Per (campaign_id, date): jobs with clicks that day and their total spend.
+def day_totals(jd: DataFrame, match_state: bool = False) -> DataFrame:
+    """Per (join keys, date): jobs with clicks that day and their spend.
 
-    Rows are unique per (campaign, job, date), so COUNT(DISTINCT job_id) is a
-    plain count; the aggregate is partial-then-final, safe under a hot campaign.
+    Every campaign matching the keys sees exactly these jobs, so this equals
+    the reference's per-(campaign, date) COUNT(DISTINCT job_id) and SUM(spend)
+    without the fan-out.  Partial-then-final aggregate: safe under a hot key.
     """
-    return (rows.groupBy("campaign_id", "date")
+    return (jd.groupBy(*_keys(match_state), "date")
             .agg(F.count(F.lit(1)).alias("job_count"),
                  F.sum("spend_sum").alias("total_spend_sum")))
 
 
-def with_spend_until_yesterday(rows: DataFrame) -> DataFrame:
-    """Running spend of the previous rows (days with clicks) per (campaign, job).
+def _materialize(df: DataFrame, materialize: bool) -> DataFrame:
+    if not materialize:
+        return df
+    from adpulse.sources.sinks import materialize as write_and_read
+
+    return write_and_read(df, "job-daily")
 
-    Groups hold at most one row per day, so the window partitions stay small.
-    """
-    w = (Window.partitionBy("campaign_id", "job_id").orderBy("date")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("spend_until_yesterday",
-                           F.sum("spend_sum").over(w).cast("double"))
+
+def clicks_agg(campaigns: DataFrame, jobs: DataFrame, clicks: DataFrame,
+               match_state: bool = False) -> DataFrame:
+    """Rows of the reference's clicks_agg CTE, one per (campaign, job, date):
+    each job is credited to every campaign of its company (company-only
+    join), unless ``match_state`` also requires the campaign's state."""
+    jd = job_daily(jobs, clicks, match_state)
+    return jd.join(_campaign_cols(campaigns), _keys(match_state))
+
+
+def campaign_stats_table(campaigns: DataFrame, jobs: DataFrame, clicks: DataFrame,
+                         match_state: bool = False) -> DataFrame:
+    """The campaign_stats CTE: campaign columns + per-day job count and spend."""
+    totals = day_totals(job_daily(jobs, clicks, match_state), match_state)
+    return (_campaign_cols(campaigns).join(totals, _keys(match_state))
+            .select("campaign_id", "company_name", "state", "cpa_target",
+                    "campaign_budget", "campaign_margin", "date", "job_count",
+                    F.col("total_spend_sum").cast("double").alias("total_spend")))
 
 
 def performance_mart(campaigns: DataFrame, jobs: DataFrame, clicks: DataFrame,
-                     match_state: bool = False) -> DataFrame:
-    """24-column daily performance per (campaign, job, date)."""
-    rows = clicks_agg(campaigns, jobs, clicks, match_state)
-    stats = campaign_stats(rows)
-    rows = with_spend_until_yesterday(rows).join(stats, ["campaign_id", "date"])
+                     match_state: bool = False, materialize: bool = True) -> DataFrame:
+    """24-column daily performance per (campaign, job, date).
+
+    All aggregation happens on job-day rows; the campaign fan-out is the last
+    join.  With ``materialize`` the job-day table is written once to the
+    shared folder and read back, so the clicks are scanned and aggregated
+    once although the table feeds both the day totals and the rows.
+    """
+    keys = _keys(match_state)
+    jd = _materialize(job_daily(jobs, clicks, match_state), materialize)
+    rows = (jd.join(day_totals(jd, match_state), keys + ["date"])
+            .join(_campaign_cols(campaigns), keys))
 
     spend = F.col("spend_sum").cast("double")
     budget_per_job = (F.col("campaign_budget").cast("double")
@@ -98,6 +129,7 @@ def performance_mart(campaigns: DataFrame, jobs: DataFrame, clicks: DataFrame,
            .withColumns({
                "spend": spend,
                "total_spend": F.col("total_spend_sum").cast("double"),
+               "spend_until_yesterday": F.col("spend_until_yesterday_sum").cast("double"),
                "budget_per_job": budget_per_job,
                "remaining_days_in_month": remaining_days("date"),
            })
@@ -118,17 +150,3 @@ def performance_mart(campaigns: DataFrame, jobs: DataFrame, clicks: DataFrame,
                                                 F.col("spend") / F.col("job_daily_budget")),
            }))
     return out.select(*MART_COLUMNS)
-
-
-def campaign_stats_table(campaigns: DataFrame, jobs: DataFrame, clicks: DataFrame,
-                         match_state: bool = False) -> DataFrame:
-    """The campaign_stats CTE as its own table (campaign columns + day totals)."""
-    rows = clicks_agg(campaigns, jobs, clicks, match_state)
-    camp = (campaigns.select("campaign_id", "company_name", "state", "cpa_target",
-                             F.col("budget").alias("campaign_budget"),
-                             F.col("margin").alias("campaign_margin")))
-    stats = campaign_stats(rows)
-    return (stats.join(camp, "campaign_id")
-            .select("campaign_id", "company_name", "state", "cpa_target",
-                    "campaign_budget", "campaign_margin", "date", "job_count",
-                    F.col("total_spend_sum").cast("double").alias("total_spend")))

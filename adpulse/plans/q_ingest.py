@@ -316,7 +316,7 @@ FROM ({_EV_NULL})""")
 def ffill_created(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events").select(
         "event_id", "event_type", F.when(F.col("event_id") % 4 != 0, F.col("ts")).alias("created"))
-    return clean.forward_fill(ev, "created", "event_id", ["event_type"], block=1000)
+    return clean.forward_fill(ev, "created", "event_id", ["event_type"], n_blocks=64)
 
 
 @register("ffill_self_order", f"""

@@ -103,8 +103,9 @@ WITH {_MART_INPUTS}
 SELECT campaign_id, job_id, date, spend_until_yesterday::DOUBLE AS spend_until_yesterday
 FROM cumulative_spend""")
 def spend_until_yesterday(spark, sf_dir):
-    rows = perf.with_spend_until_yesterday(perf.clicks_agg(*_inputs(spark, sf_dir)))
-    return rows.select("campaign_id", "job_id", "date", "spend_until_yesterday")
+    rows = perf.clicks_agg(*_inputs(spark, sf_dir))
+    return rows.select("campaign_id", "job_id", "date",
+                       F.col("spend_until_yesterday_sum").cast("double").alias("spend_until_yesterday"))
 
 
 @register("performance_mart_write", MART_SQL)

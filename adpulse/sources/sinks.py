@@ -73,3 +73,13 @@ def write_search_csv(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("header", True)
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
+
+
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared scratch folder and return
+    the table read back: later plans that use it twice scan it instead of
+    recomputing it, and lineage is cut there (survives lost executors)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

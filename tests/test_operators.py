@@ -37,12 +37,22 @@ def test_forward_fill_matches_window_across_blocks(spark):
     random.seed(3)
     rows = [(i, random.choice("xyz"), None if random.random() < 0.4 else i * 10) for i in range(300)]
     df = spark.createDataFrame(rows, "k long, g string, v long")
-    got = {r.k: r.v for r in clean.forward_fill(df, "v", "k", ["g"], block=7).collect()}
     w = Window.partitionBy("g").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     want = {r.k: r.v for r in df.select("k", F.last("v", True).over(w).alias("v")).collect()}
+    got = {r.k: r.v for r in clean.forward_fill(df, "v", "k", ["g"], block=7).collect()}
+    assert got == want
+    got = {r.k: r.v for r in clean.forward_fill(df, "v", "k", ["g"], n_blocks=13).collect()}
     assert got == want
 
 
+def test_forward_fill_by_timestamp_blocks(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(minutes=7 * i), None if i % 3 else i) for i in range(200)]
+    df = spark.createDataFrame(rows, "t timestamp, v long")
+    got = {r.t: r.v for r in clean.forward_fill(df, "v", "t", n_blocks=9).collect()}
+    assert got == {t: (i - i % 3) for i, (t, _) in enumerate(rows)}
+
+
 def test_reference_fill_never_fills(spark):
     rows = [("1", TS(2024, 1, 2)), ("2", None), ("3", TS(2024, 1, 1)), ("4", None)]
     df = spark.createDataFrame(rows, "id string, created timestamp")
