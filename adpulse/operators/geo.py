@@ -74,17 +74,32 @@ def _cells(lat: Column, lon: Column, cell_deg: float) -> tuple[Column, Column]:
             F.floor((lon + F.lit(180.0)) / F.lit(cell_deg)).cast("int"))
 
 
-def reverse_geocode(points: DataFrame, places: DataFrame, id_col: str = "point_id",
-                    max_km: float = 50.0, cell_deg: float = 1.0) -> DataFrame:
-    """Nearest place within ``max_km`` of each point, else nulls.
+def default_cell_deg(max_km: float) -> float:
+    """Smallest cell that covers ``max_km`` in latitude and tiles 360 degrees
+    (fewer candidates per point than a coarser grid)."""
+    return _tiling(max_km / KM_PER_DEGREE)
+
+
+def _tiling(cell_deg: float) -> float:
+    """Round a cell size up so that a whole number of columns spans 360
+    degrees: the wrap at +/-180 then has no narrow seam column."""
+    n = max(1, int(math.floor(360.0 / cell_deg)))
+    return 360.0 / n
+
+
+def nearest_places(coords: DataFrame, places: DataFrame, max_km: float = 50.0,
+                   cell_deg: float | None = None) -> DataFrame:
+    """Nearest place within ``max_km`` of each distinct (longitude, latitude).
 
     Places are copied into every grid cell within reach (rows of cells
     ``k_lat`` apart in latitude; in longitude as many cells as ``max_km``
-    spans at that row's worst latitude, wrapping at +/-180), points are
+    spans at that row's worst latitude, wrapping at +/-180), coordinates are
     equi-joined on their own cell, and the nearest candidate is picked by a
-    ``min(struct(distance, place))`` aggregate - partial per task, so a
-    crowded cell does not pile up in one task.
+    ``min(struct(distance, place))`` aggregate - partial per task.  The work
+    per coordinate is bounded by the places near it, not by how many rows
+    share that coordinate.
     """
+    cell_deg = _tiling(cell_deg) if cell_deg else default_cell_deg(max_km)
     n_cols = int(round(360.0 / cell_deg))
     k_lat = int(math.ceil(max_km / (KM_PER_DEGREE * cell_deg)))
     pl = normalize_places(places)
@@ -102,31 +117,34 @@ def reverse_geocode(points: DataFrame, places: DataFrame, id_col: str = "point_i
                   band.alias("__gy"),
                   F.pmod(F.col("__cx") + F.col("__dx"), F.lit(n_cols)).alias("__gx"))
           .dropDuplicates(["__plon", "__plat", "__gy", "__gx"]))
+    q = coords.select(*COORDS).distinct()
     qy, qx = _cells(F.col("latitude"), F.col("longitude"), cell_deg)
-    q = points.select(id_col, "latitude", "longitude", qy.alias("__gy"), qx.alias("__gx"))
+    q = q.select(*COORDS, qy.alias("__gy"), F.pmod(qx, F.lit(n_cols)).alias("__gx"))
     cand = (q.join(pl, ["__gy", "__gx"])
             .withColumn("__d", haversine_km(F.col("latitude"), F.col("longitude"),
                                             F.col("__plat"), F.col("__plon")))
             .filter(F.col("__d") <= F.lit(max_km)))
-    best = (cand.groupBy(id_col)
+    best = (cand.groupBy(*COORDS)
             .agg(F.min(F.struct(F.col("__d").alias("distance_km"), F.col("__plon").alias("lon"),
                                 F.col("__plat").alias("lat"), *PLACE_COLUMNS)).alias("__b")))
-    return (points.join(best, id_col, "left")
-            .select(*points.columns,
-                    *[F.col("__b")[c].alias(c) for c in PLACE_COLUMNS],
-                    F.col("__b")["distance_km"].alias("distance_km")))
+    return best.select(*COORDS, *[F.col("__b")[c].alias(c) for c in PLACE_COLUMNS],
+                       F.col("__b")["distance_km"].alias("distance_km"))
+
+
+def reverse_geocode(points: DataFrame, places: DataFrame, id_col: str = "point_id",
+                    max_km: float = 50.0, cell_deg: float | None = None) -> DataFrame:
+    """Each point with its nearest place within ``max_km`` (else nulls)."""
+    near = nearest_places(points, places, max_km, cell_deg)
+    return (points.join(near, COORDS, "left")
+            .select(*points.columns, *PLACE_COLUMNS, "distance_km"))
 
 
 def fill_from_nearest(df: DataFrame, places: DataFrame, max_km: float = 50.0,
-                      cell_deg: float = 1.0) -> DataFrame:
+                      cell_deg: float | None = None) -> DataFrame:
     """C2 variant: complete null place parts from the nearest place."""
     need = df.filter(any_place_missing())
     done = df.filter(~any_place_missing())
-    # The coordinate text is the point's id: deterministic on every re-evaluation.
-    pts = (need.select(*COORDS).distinct()
-           .withColumn("__pid", F.concat_ws(",", F.col("longitude").cast("string"),
-                                            F.col("latitude").cast("string"))))
-    near = reverse_geocode(pts, places, "__pid", max_km, cell_deg) \
+    near = nearest_places(need, places, max_km, cell_deg) \
         .select(*COORDS, *[F.col(c).alias(f"__n_{c}") for c in PLACE_COLUMNS])
     filled = (need.join(near, COORDS, "left")
               .withColumns({c: F.coalesce(F.col(c), F.col(f"__n_{c}")) for c in PLACE_COLUMNS})

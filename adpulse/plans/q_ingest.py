@@ -508,3 +508,26 @@ def final_ads(spark, sf_dir):
     ads = fx.events_as_ads(spark, sf_dir, dup=True)
     final = finalize(add_features(clean_and_locate(ads, fx.supplier_places(spark, sf_dir))))
     return _ntz(final, "created_ts")
+
+
+_HAV_ADS = _HAV.replace("q.latitude", "a.latitude").replace("q.longitude", "a.longitude")
+
+
+@register("geo_fill_nearest", f"""
+WITH a AS (SELECT * FROM ({_F2}) WHERE latitude IS NOT NULL AND longitude IS NOT NULL),
+pts AS (SELECT DISTINCT longitude, latitude FROM a
+        WHERE city IS NULL OR county IS NULL OR state IS NULL OR country IS NULL),
+p AS ({_PLACES_NORM}),
+d AS (SELECT a.longitude AS qlon, a.latitude AS qlat, p.longitude AS plon, p.latitude AS plat,
+             p.city, p.county, p.state, p.country, {_HAV_ADS} AS dist
+      FROM pts a, p),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qlon, qlat ORDER BY dist, plon, plat) AS rn
+                        FROM d WHERE dist <= 50.0) WHERE rn = 1)
+SELECT a.id, COALESCE(a.city, b.city) AS city, COALESCE(a.county, b.county) AS county,
+       COALESCE(a.state, b.state) AS state, COALESCE(a.country, b.country) AS country
+FROM a LEFT JOIN best b ON a.longitude = b.qlon AND a.latitude = b.qlat""")
+def geo_fill_nearest(spark, sf_dir):
+    """J9 inside C2: incomplete places filled from the nearest place within 50 km."""
+    ads = clean.drop_missing_coordinates(fx.events_as_ads(spark, sf_dir))
+    return geo.fill_from_nearest(ads, fx.supplier_places(spark, sf_dir), max_km=50.0) \
+        .select("id", "city", "county", "state", "country")

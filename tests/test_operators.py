@@ -182,9 +182,12 @@ def test_reverse_geocode_equals_brute_force_with_wrap(spark):
     pl = spark.createDataFrame([(lo, la, c, "co", "st", "us") for lo, la, c in places],
                                "longitude double, latitude double, city string, county string, state string, country string")
     pt = spark.createDataFrame(points, "point_id long, longitude double, latitude double")
-    got = {r.point_id: r.city for r in geo.reverse_geocode(pt, pl, max_km=60.0, cell_deg=0.5).collect()}
-    assert got == _brute(points, places, 60.0)
-    assert got[1000] in ("east", "west") and got[1001] in ("east", "west")
+    want = _brute(points, places, 60.0)
+    for cell in (0.5, 0.7, None):
+        got = {r.point_id: r.city
+               for r in geo.reverse_geocode(pt, pl, max_km=60.0, cell_deg=cell).collect()}
+        assert got == want
+    assert want[1000] in ("east", "west") and want[1001] in ("east", "west")
 
 
 def test_fill_from_lookup_only_fills_nulls(spark):
