@@ -199,3 +199,11 @@ def test_fill_from_lookup_only_fills_nulls(spark):
                                    "longitude double, latitude double, city string, town string, road string, county string, state string, country string")
     got = {r.id: (r.city, r.county, r.state, r.country) for r in geo.fill_from_lookup(ads, places).collect()}
     assert got == {"1": ("Town", "C", "PS", "US"), "2": ("Own", "C", "S", "US"), "3": (None, None, None, None)}
+
+
+def test_native_mode_runs_and_respects_ranges(spark):
+    c = clicks.generate_clicks(_jobs(spark), mode="native", seed=7)
+    per_day = c.groupBy("job_id", "date").count().collect()
+    assert per_day and all(10 <= r["count"] <= 80 for r in per_day)
+    assert c.filter(~F.col("device_type").isin("Mobile", "PC")).count() == 0
+    assert c.filter(~F.col("is_applicant").isin(0, 1)).count() == 0
