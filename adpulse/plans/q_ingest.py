@@ -439,16 +439,18 @@ def remaining_days(spark, sf_dir):
 
 # --- search list --------------------------------------------------------------------
 _TITLES_SQL = ", ".join(f"('{t}')" for t in search.DEFAULT_TITLES)
+# Places to search: every supplier's location (nation as state, supplier as
+# city), so the list grows with the data.
 _GRID_SQL = f"""
-SELECT t.title AS Job_Title, r_name AS State, n_name AS City
-FROM nation JOIN region ON n_regionkey = r_regionkey, (VALUES {_TITLES_SQL}) AS t(title)"""
+SELECT t.title AS Job_Title, n_name AS State, s_name AS City
+FROM supplier JOIN nation ON s_nationkey = n_nationkey, (VALUES {_TITLES_SQL}) AS t(title)"""
 
 
 def _grid_places(spark, sf_dir):
+    s = fx.table(spark, sf_dir, "supplier")
     n = fx.table(spark, sf_dir, "nation")
-    r = fx.table(spark, sf_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("r_name").alias("State"),
-                                                            F.col("n_name").alias("City"))
+    return s.join(n, s.s_nationkey == n.n_nationkey).select(F.col("n_name").alias("State"),
+                                                            F.col("s_name").alias("City"))
 
 
 @register("search_grid", _GRID_SQL)

@@ -207,3 +207,19 @@ def test_native_mode_runs_and_respects_ranges(spark):
     assert per_day and all(10 <= r["count"] <= 80 for r in per_day)
     assert c.filter(~F.col("device_type").isin("Mobile", "PC")).count() == 0
     assert c.filter(~F.col("is_applicant").isin(0, 1)).count() == 0
+
+
+def test_click_distributions(spark):
+    rows = [(f"job{i}", dt.date(2025, 8, 1 + i % 20), 3.0) for i in range(300)]
+    jobs = spark.createDataFrame(rows, "job_id string, created_date date, bid double")
+    c = clicks.generate_clicks(jobs)
+    per_day = c.groupBy("job_id", "date").count()
+    m = per_day.agg(F.avg("count"), F.min("count"), F.max("count")).first()
+    assert abs(m[0] - 45) < 1.5 and m[1] >= 10 and m[2] <= 80
+    s = c.agg(F.avg("cost"), F.stddev("cost"), F.avg("is_applicant"),
+              F.avg((F.col("device_type") == "Mobile").cast("int")),
+              F.avg((F.col("gender") == "Male").cast("int")),
+              F.countDistinct("age_group")).first()
+    assert abs(s[0] - 3.0) < 0.02 and abs(s[1] - 0.5) < 0.02
+    assert abs(s[2] - 0.15) < 0.01
+    assert abs(s[3] - 0.5) < 0.02 and abs(s[4] - 0.5) < 0.02 and s[5] == 6
