@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from adpulse.functions.scalars import created_parts, keyword_flag, time_of_day
 from adpulse.operators.clean import fill_defaults

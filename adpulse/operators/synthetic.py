@@ -117,7 +117,6 @@ def add_click_columns(df: DataFrame, mode="keyed", draws: Draws | None = None, s
         d = draws or click_draws()
         if d.seed_cols[0] not in df.columns:
             df = d.attach(df)
-        df = d.words(df)
         u = [d.uniform(i) for i in range(7)]
         z = [d.normal(0), d.normal(1)]
     p = clamp(z[1] * F.lit(p_sd) + F.lit(p_mean), 0.0, 1.0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, IntegerType,
+from pyspark.sql.types import (ArrayType, DateType, DoubleType, IntegerType,
                                LongType, StringType, StructField, StructType, TimestampType)
 
 
@@ -54,8 +54,6 @@ STAGE1_COLUMNS = ["id", "created", "location_display_name", "country", "state",
 PLACE_COLUMNS = ["city", "county", "state", "country"]
 
 STAGE3_DROPPED = ["contract_type", "category_tag"]
-STAGE3_ADDED = ["created_ts", "created_date", "created_hour", "created_time_of_day",
-                "has_bonus_or_benefit"]
 
 # Nested API document (one search result).
 API_RESULT_SCHEMA = StructType([
@@ -112,4 +110,3 @@ CLICK_SCHEMA = _s(("click_id", StringType()), ("job_id", StringType()), ("date",
 
 SEARCH_SCHEMA = _s(("Job_Title", StringType()), ("State", StringType()), ("City", StringType()))
 
-BOOL = BooleanType()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adpulse.operators import campaigns as camp
 from adpulse.operators import clean, clicks, dq, geo, search
 from adpulse.operators.numbering import assign_ids, global_rank
-from adpulse.schemas import CAMPAIGN_SCHEMA
+from adpulse.schemas import CAMPAIGN_SCHEMA, CLICK_SCHEMA
 
 TS = dt.datetime
 
@@ -83,6 +83,7 @@ def _ads(spark):
 
 def test_campaigns_first_run_and_rerun_is_stable(spark):
     first = camp.campaigns_incremental(None, _ads(spark))
+    assert [(f.name, f.dataType) for f in first.schema] == [(f.name, f.dataType) for f in CAMPAIGN_SCHEMA]
     rows = sorted(first.collect(), key=lambda r: r.campaign_id)
     assert [(r.campaign_id, r.company_name, r.state) for r in rows] == \
         [(1001, "Acme", "CA"), (1002, "Acme", "TX"), (1003, "Bolt", None)]
@@ -144,6 +145,7 @@ def test_generated_clicks_properties(spark):
     assert c.filter(~F.col("time").rlike("^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$")).count() == 0
     again = clicks.generate_clicks(_jobs(spark).repartition(3))
     assert sorted(c.collect()) == sorted(again.collect())
+    assert [(f.name, f.dataType) for f in c.schema] == [(f.name, f.dataType) for f in CLICK_SCHEMA]
 
 
 def test_latest_k(spark):
@@ -223,3 +225,18 @@ def test_click_distributions(spark):
     assert abs(s[0] - 3.0) < 0.02 and abs(s[1] - 0.5) < 0.02
     assert abs(s[2] - 0.15) < 0.01
     assert abs(s[3] - 0.5) < 0.02 and abs(s[4] - 0.5) < 0.02 and s[5] == 6
+
+
+def test_empty_month_gives_empty_results(spark):
+    jobs = spark.createDataFrame([], "job_id string, created_date date, bid double")
+    assert clicks.generate_clicks(jobs).count() == 0
+    assert clicks.job_days_range_join(jobs).count() == 0
+    b = clicks.date_bounds(jobs).first()
+    assert b.min_date is None and b.max_date is None
+    ads = spark.createDataFrame([], "company_name string, state string, bid double")
+    assert camp.campaigns_incremental(None, ads).count() == 0
+
+
+def test_dates_all_null_give_no_clicks(spark):
+    jobs = spark.createDataFrame([("j", None, 1.0)], "job_id string, created_date date, bid double")
+    assert clicks.generate_clicks(jobs).count() == 0

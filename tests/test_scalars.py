@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from adpulse.functions import scalars as sc
 from adpulse.operators.ingest import area_columns
 
