@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adpulse.operators.numbering import assign_ids
-from adpulse.operators.synthetic import add_budget_margin, add_cpa_target
+from adpulse.operators.synthetic import (BUDGET_CHOICES, MARGIN_CHOICES, add_budget_margin,
+                                        add_cpa_target)
 from adpulse.schemas import CAMPAIGN_SCHEMA
 
 KEYS = ["company_name", "state"]
@@ -58,10 +59,14 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CAMPAIGN_SCHEMA.fields])
 
 
-def campaigns_incremental(old: DataFrame | None, ads: DataFrame, default_max_id: int = DEFAULT_MAX_ID,
-                          compat: bool = False, mode: str = "keyed") -> DataFrame:
+def campaigns_incremental(old: DataFrame | None, ads: DataFrame, first_id: int = DEFAULT_MAX_ID + 1,
+                          budgets=BUDGET_CHOICES, margins=MARGIN_CHOICES, compat: bool = False,
+                          mode: str = "keyed") -> DataFrame:
     """Old campaigns (or None) + the month's final ads -> all campaigns.
 
+    New ids continue after the current maximum (``first_id`` when there is
+    none); budget and margin are uniform picks from ``budgets``/``margins``.
+
     ``compat=False``: rows without a company are dropped before numbering and
     the anti join is null-safe, so ids have no holes.  ``compat=True`` keeps
     the reference's order (number first, filter after) and plain equality.
@@ -74,9 +79,9 @@ def campaigns_incremental(old: DataFrame | None, ads: DataFrame, default_max_id:
     if not compat:
         agg = agg.filter(F.col("company_name").isNotNull())
     fresh = new_keys(agg, old, null_safe=not compat)
-    base: Column = max_id_or_default(old, default_max_id).scalar()
+    base: Column = max_id_or_default(old, first_id - 1).scalar()
     fresh = assign_ids(fresh, KEYS, base)
     fresh = add_cpa_target(fresh, mode=mode)
-    fresh = add_budget_margin(fresh, mode=mode)
+    fresh = add_budget_margin(fresh, mode=mode, budgets=budgets, margins=margins)
     merged = keep_lowest_id(old.unionByName(_typed(fresh)))
     return merged.filter(F.col("company_name").isNotNull())
