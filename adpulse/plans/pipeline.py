@@ -55,7 +55,9 @@ def run_monthly(spark: SparkSession, base: str, year: int, month: int,
                 match_state: bool = False) -> dict[str, DataFrame]:
     """Jobs, campaigns (incremental), clicks and the performance mart of a month."""
     ym = {"year": F.lit(year), "month": F.lit(month)}
-    final = readers.read_month(spark, f"{base}/final", year, month).drop("year", "month", "day")
+    # batch_id exists when the final table was filled by the incremental ingest
+    final = readers.read_month(spark, f"{base}/final", year, month).drop("year", "month", "day",
+                                                                           "batch_id")
 
     jobs = monthly_jobs(final)
     sinks.write_partitions(jobs.withColumns(ym), f"{base}/jobs", ["year", "month"])

@@ -46,8 +46,9 @@ def write_swap(df: DataFrame, path: str, partition_cols=()) -> None:
     """Overwrite a dataset that ``df`` itself reads.
 
     Writing straight into ``path`` would delete the input before it is read.
-    The result is written completely to a sibling folder first; only then is
-    the old folder removed and the new one renamed into place.
+    The result is written completely to a sibling folder first; then the old
+    folder is moved aside, the new one moved into place, and only then is the
+    old one deleted - at any crash point a complete copy exists on storage.
     """
     spark = df.sparkSession
     tmp = f"{path.rstrip('/')}.__swap-{uuid.uuid4().hex[:8]}"
@@ -57,10 +58,16 @@ def write_swap(df: DataFrame, path: str, partition_cols=()) -> None:
     w.parquet(tmp)
     fs, target = _fs(spark, path)
     _, staged = _fs(spark, tmp)
-    if fs.exists(target) and not fs.delete(target, True):
-        raise OSError(f"could not remove {path}")
+    _, backup = _fs(spark, f"{path.rstrip('/')}.__old-{uuid.uuid4().hex[:8]}")
+    had_old = bool(fs.exists(target))
+    if had_old and not fs.rename(target, backup):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(staged, target):
+        if had_old:
+            fs.rename(backup, target)
         raise OSError(f"could not move {tmp} to {path}")
+    if had_old:
+        fs.delete(backup, True)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

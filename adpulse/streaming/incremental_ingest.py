@@ -8,7 +8,9 @@ appended to the final table, partitioned by the landing day taken from the
 file's ``YYYY/MM/DD`` folder.
 
 Run with ``availableNow=True`` it processes everything new and stops - a
-restartable replacement for the daily batch.  Duplicates inside a
+restartable replacement for the daily batch.  Output partitions are
+(year, month, day, batch_id), so a retried micro-batch overwrites its own
+files instead of appending twice.  Duplicates inside a
 micro-batch are dropped there; an ad landed again in a later batch is
 removed by the monthly dedup (``monthly_jobs``), as in the reference.
 """
@@ -49,9 +51,12 @@ def start_incremental_ingest(spark: SparkSession, raw_root: str, places: DataFra
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         # the landing day rides along through the stages (the surviving
-        # version of a duplicated id keeps its own landing day)
-        final = daily_final(batch, places, **options)
-        final.write.mode("append").partitionBy("year", "month", "day").parquet(f"{base}/final")
+        # version of a duplicated id keeps its own landing day).  Each
+        # micro-batch owns a batch_id partition written with dynamic
+        # overwrite, so a retried batch replaces its own output: exactly once.
+        final = daily_final(batch, places, **options).withColumn("batch_id", F.lit(batch_id))
+        (final.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year", "month", "day", "batch_id").parquet(f"{base}/final"))
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

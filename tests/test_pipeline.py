@@ -72,3 +72,14 @@ def test_io_helpers(spark):
     cur = spark.read.parquet(f"{base}/t")
     sinks.write_swap(cur.withColumn("x", F.col("x") * 10), f"{base}/t")
     assert sorted(r.x for r in spark.read.parquet(f"{base}/t").collect()) == [10, 20]
+
+
+def test_monthly_run_over_streamed_final(spark):
+    base = sinks.scratch_path(spark, "stream-monthly")
+    raw = f"{base}/raw"
+    places = fx.supplier_places(spark, SF_SMALL)
+    _land_raw(spark, raw, "2025/08/01", 0, 500)
+    start_incremental_ingest(spark, raw, places, base, checkpoint=f"{base}/_ck").awaitTermination()
+    out = run_monthly(spark, base, 2025, 8)
+    assert "batch_id" not in out["jobs"].columns
+    assert out["jobs"].count() == out["jobs"].select("job_id").distinct().count() > 0
