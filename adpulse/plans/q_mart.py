@@ -121,3 +121,15 @@ def performance_mart_write(spark, sf_dir):
     sinks.write_partitions(mart, path, ["date"])
     sinks.write_partitions(mart, path, ["date"])
     return spark.read.schema(mart.schema).parquet(path).select(*perf.MART_COLUMNS)
+
+
+@register("performance_mart_sql", MART_SQL)
+def performance_mart_sql(spark, sf_dir):
+    """C8 through the SQL API: fixtures registered as views, mart as a view."""
+    from adpulse.plans.sql_views import create_performance_view
+
+    campaigns, jobs, clicks = _inputs(spark, sf_dir)
+    names = {"campaigns": "adpulse_campaigns", "jobs": "adpulse_jobs", "clicks": "adpulse_clicks"}
+    for df, key in ((campaigns, "campaigns"), (jobs, "jobs"), (clicks, "clicks")):
+        df.createOrReplaceTempView(names[key])
+    return create_performance_view(spark, "adpulse_performance", **names).select(*perf.MART_COLUMNS)
