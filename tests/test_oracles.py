@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "labels"]
-CHECKED = ["performance_mart", "campaigns_incremental", "gen_clicks", "stage2", "final_ads",
+CHECKED = ["performance_mart", "performance_mart_sql", "campaigns_incremental", "gen_clicks", "stage2", "final_ads",
            "dedup_by_id", "ffill_created", "reverse_geocode", "scan_json_schema", "flatten_ads",
            "latest_k_per_search", "null_audit", "assign_ids", "job_days_range_join"]
 
