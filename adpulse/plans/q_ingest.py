@@ -87,7 +87,8 @@ def _write_raw_json(spark, sf_dir, broken: bool) -> str:
     raw = fx.events_as_raw(spark, sf_dir).withColumn("unknown_field", F.lit("x"))
     sinks.write_json_lines(raw, f"{path}/good")
     if broken:
-        ev = fx.table(spark, sf_dir, "events").filter(F.col("event_id") % 50 == 0)
+        # every 'error' event also lands as a truncated line
+        ev = fx.table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
         ev.select(F.concat(F.lit('{"id": "'), F.col("event_id").cast("string"), F.lit('", broken'))
                   .alias("value")).write.text(f"{path}/broken")
     return path
@@ -138,7 +139,7 @@ _NULL_ROW = ", ".join(f"NULL AS {c}" for c in _RAW_COLS)
 @register("scan_json_schema", f"""
 {RAW_READ_SQL}
 UNION ALL
-SELECT {_NULL_ROW} FROM events WHERE event_id % 50 = 0""")
+SELECT {_NULL_ROW} FROM events WHERE event_type = 'error'""")
 def scan_json_schema(spark, sf_dir):
     """Fixed-schema read; unknown field dropped, bad timestamp -> null,
     broken line -> all-null row."""
