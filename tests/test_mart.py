@@ -44,3 +44,10 @@ def test_mart_semantics(spark):
 def test_mart_match_state_restricts_fan_out(spark):
     m = performance_mart(*_frames(spark), match_state=True)
     assert {r.campaign_id for r in m.collect()} == {1001}
+
+
+def test_materialized_and_recomputed_paths_agree(spark):
+    for match_state in (False, True):
+        a = performance_mart(*_frames(spark), match_state=match_state, materialize=True).collect()
+        b = performance_mart(*_frames(spark), match_state=match_state, materialize=False).collect()
+        assert sorted(a) == sorted(b) and a
