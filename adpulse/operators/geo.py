@@ -107,9 +107,15 @@ def nearest_places(coords: DataFrame, places: DataFrame, max_km: float = 50.0,
     pl = pl.withColumns({"__cy": cy, "__cx": cx})
     pl = pl.withColumn("__dy", F.explode(F.sequence(F.lit(-k_lat), F.lit(k_lat))))
     band = F.col("__cy") + F.col("__dy")
-    worst_lat = F.least(F.lit(89.999),
-                        F.greatest(F.abs(band), F.abs(band + 1)).cast("double") * F.lit(cell_deg))
-    span = F.ceil(F.lit(max_km) / (F.lit(KM_PER_DEGREE * cell_deg) * F.cos(F.radians(worst_lat))))
+    # Two points within max_km satisfy sin^2(dlon/2) <= sin^2(d/2R) / (cos p1 cos p2);
+    # bound cos p1 cos p2 below by cos^2 of the poleward-most edge of the
+    # place's band and the query's band.
+    worst_lat = F.least(F.lit(89.999), F.greatest(
+        F.abs(band), F.abs(band + 1), F.abs(F.col("__cy")), F.abs(F.col("__cy") + 1)
+    ).cast("double") * F.lit(cell_deg))
+    ratio = F.lit(math.sin(max_km / (2 * EARTH_RADIUS_KM))) / F.cos(F.radians(worst_lat))
+    span_deg = F.when(ratio >= 1, F.lit(180.0)).otherwise(F.degrees(F.asin(ratio) * 2))
+    span = F.ceil(span_deg / F.lit(cell_deg)) + F.lit(1)
     k_lon = F.least(span, F.lit(n_cols // 2)).cast("int")
     pl = (pl.withColumn("__dx", F.explode(F.sequence(-k_lon, k_lon)))
           .select(F.col("longitude").alias("__plon"), F.col("latitude").alias("__plat"),

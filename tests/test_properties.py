@@ -61,3 +61,32 @@ def test_forward_fill_is_last_non_null(spark, fs, n_blocks):
             last[g] = v
         want[k] = last.get(g)
     assert got == want
+
+
+def _hav_km(lon1, lat1, lon2, lat2):
+    import math
+    p1, p2 = math.radians(lat1), math.radians(lat2)
+    h = (math.sin((p2 - p1) / 2) ** 2
+         + math.cos(p1) * math.cos(p2) * math.sin((math.radians(lon2) - math.radians(lon1)) / 2) ** 2)
+    return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, h)))
+
+
+coords = st.tuples(st.floats(-180, 179.999), st.floats(-88, 88))
+
+
+@SETTINGS
+@given(st.lists(coords, min_size=1, max_size=40), st.lists(coords, min_size=1, max_size=25),
+       st.sampled_from([20.0, 80.0, 300.0]))
+def test_nearest_place_equals_brute_force_everywhere(spark, places, points, max_km):
+    from adpulse.operators import geo
+    pl = spark.createDataFrame([(lo, la, f"p{i}", "c", "s", "x") for i, (lo, la) in enumerate(places)],
+                               "longitude double, latitude double, city string, county string, state string, country string")
+    pts = spark.createDataFrame([(i, lo, la) for i, (lo, la) in enumerate(points)],
+                                "point_id long, longitude double, latitude double")
+    got = {r.point_id: r.distance_km for r in geo.reverse_geocode(pts, pl, max_km=max_km).collect()}
+    for i, (lo, la) in enumerate(points):
+        best = min(_hav_km(lo, la, plo, pla) for plo, pla in places)
+        if best <= max_km - 1e-6:
+            assert got[i] is not None and abs(got[i] - best) < 1e-6
+        elif best > max_km + 1e-6:
+            assert got[i] is None
