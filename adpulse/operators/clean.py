@@ -25,12 +25,18 @@ def dedup_latest(df: DataFrame, key: str = "id", order: Sequence[str] = ("create
         .select(*df.columns)
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
 def _order_number(c: Column, dtype: str) -> Column:
+    """The order key as a number (blocks are ranges of it)."""
     if dtype.startswith("timestamp"):
         return F.unix_micros(c.cast("timestamp"))
     if dtype == "date":
         return F.unix_date(c)
-    return c.cast("long")
+    if dtype in _NUMERIC or dtype.startswith("decimal"):
+        return F.floor(c).cast("long")
+    raise TypeError(f"forward_fill orders by a numeric, date or timestamp column, not {dtype}")
 
 
 def forward_fill(df: DataFrame, col: str, order_col: str, partition_cols: Sequence[str] = (),

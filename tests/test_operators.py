@@ -53,6 +53,13 @@ def test_forward_fill_by_timestamp_blocks(spark):
     assert got == {t: (i - i % 3) for i, (t, _) in enumerate(rows)}
 
 
+def test_forward_fill_rejects_text_order(spark):
+    import pytest
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    with pytest.raises(TypeError):
+        clean.forward_fill(df, "v", "k")
+
+
 def test_reference_fill_never_fills(spark):
     rows = [("1", TS(2024, 1, 2)), ("2", None), ("3", TS(2024, 1, 1)), ("4", None)]
     df = spark.createDataFrame(rows, "id string, created timestamp")

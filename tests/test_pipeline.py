@@ -83,3 +83,16 @@ def test_monthly_run_over_streamed_final(spark):
     out = run_monthly(spark, base, 2025, 8)
     assert "batch_id" not in out["jobs"].columns
     assert out["jobs"].count() == out["jobs"].select("job_id").distinct().count() > 0
+
+
+def test_daily_run_with_nearest_places_and_real_fill(spark):
+    base = sinks.scratch_path(spark, "pipeline-nearest")
+    raw = f"{base}/raw"
+    _land_raw(spark, raw, "2025/08/03", 0, 400)
+    places = fx.supplier_places(spark, SF_SMALL)
+    out = run_daily(spark, f"{raw}/2025/08/03", places, base, "2025-08-03",
+                    max_km=500.0, fill_order="salary_min")
+    assert out.count() > 0
+    # the landing day is a partition of the final table, one row per id
+    assert out.select("id").distinct().count() == out.count()
+    assert out.filter(F.col("created").isNull()).count() <= out.count()
