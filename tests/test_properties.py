@@ -90,3 +90,24 @@ def test_nearest_place_equals_brute_force_everywhere(spark, places, points, max_
             assert got[i] is not None and abs(got[i] - best) < 1e-6
         elif best > max_km + 1e-6:
             assert got[i] is None
+
+
+ads_rows = st.lists(st.tuples(st.sampled_from(["Acme", "Bolt", "Core", None]),
+                              st.sampled_from(["CA", "TX", None]),
+                              st.sampled_from([0.25, 1.0, 3.5, 6.25])),
+                    min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(ads_rows)
+def test_campaigns_rerun_is_stable_and_ids_contiguous(spark, rows):
+    from adpulse.operators.campaigns import campaigns_incremental
+    from adpulse.schemas import CAMPAIGN_SCHEMA
+
+    ads = spark.createDataFrame(rows, "company_name string, state string, bid double")
+    first = sorted(campaigns_incremental(None, ads).collect())
+    keys = {(c, s) for c, s, _ in rows if c is not None}
+    assert len(first) == len(keys) == len({(r.company_name, r.state) for r in first})
+    assert sorted(r.campaign_id for r in first) == list(range(1001, 1001 + len(keys)))
+    again = campaigns_incremental(spark.createDataFrame(first, CAMPAIGN_SCHEMA), ads).collect()
+    assert sorted(again) == first
