@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from adpulse.llm.common import table
 from adpulse.llm.exact_dedup import exact_dedup
 from adpulse.llm.mixing import systematic_copies
+from adpulse.llm.near_dedup import near_duplicates
 from adpulse.llm.packing import pack
 from adpulse.llm.sharding import assign_shards
+from adpulse.llm.substring_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,11 +33,53 @@ def op2(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
 
 
+@_query("op3_substring_dedup", r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM d),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM s),
+f AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS m FROM g) WHERE m < doc_id),
+c AS (SELECT DISTINCT doc_id, i + o AS p FROM f, range(13) t(o)),
+p AS (SELECT d.doc_id, t.p, d.w[t.p] AS word FROM d, unnest(range(1, len(w) + 1)) t(p)),
+k AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.p) AS kept, count(*) AS n FROM p ANTI JOIN c USING (doc_id, p)
+  GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+""")
+def op3(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @_query("op4_sharding")
 def op4(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"), 16)
 
 
+@_query("op6_near_dedup", r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN [w[1]] ELSE [w[i], w[i + 1]] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+r(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other),
+c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT c.doc_id, coalesce(n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+""")
+def op6(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 @_query("op8_exact_dedup", r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
