@@ -37,3 +37,14 @@ def n_words(text):
 def parts_for(rows: int, per_task: int = ROWS_PER_TASK) -> int:
     """Partitions that keep a Python task at ``per_task`` rows, whatever the input."""
     return max(1, -(-rows // per_task))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out

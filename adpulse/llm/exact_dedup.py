@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import SPACE, parts_for, stored, text_or_empty
+from adpulse.llm.common import SPACE, parts_for, stored, text_or_empty, unused
 
 _SLOTS = 4
 _KICKS = 200
@@ -218,6 +218,7 @@ def exact_dedup(docs: DataFrame, withdrawn: DataFrame | None = None) -> DataFram
 
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without later copies, all columns kept."""
-    marked = docs.withColumn("__row", F.monotonically_increasing_id())
-    kept = exact_dedup(docs).filter("kept").select(F.col("row_id").alias("__row"))
-    return marked.join(kept, "__row", "left_semi").drop("__row")
+    row, = unused(docs, "__row")
+    marked = docs.withColumn(row, F.monotonically_increasing_id())
+    kept = exact_dedup(docs).filter("kept").select(F.col("row_id").alias(row))
+    return marked.join(kept, row, "left_semi").drop(row)

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import n_words, stored, text_or_empty
+from adpulse.llm.common import n_words, stored, text_or_empty, unused
 
 MAX_REPEATS = 3
 SEED = "mix"
@@ -110,9 +110,10 @@ def systematic_copies(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
 
 def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The mixed corpus: rows of ``docs``, each as often as it is taken."""
-    marked = docs.withColumn("__row", F.monotonically_increasing_id())
+    row, copies, copy = unused(docs, "__row", "__copies", "__copy")
+    marked = docs.withColumn(row, F.monotonically_increasing_id())
     taken = (systematic_copies(docs, max_repeats).filter(F.col("copies") > 0)
-             .select(F.col("row_id").alias("__row"), F.col("copies").alias("__copies")))
-    return (marked.join(taken, "__row")
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-            .drop("__row", "__copies", "__copy"))
+             .select(F.col("row_id").alias(row), F.col("copies").alias(copies)))
+    return (marked.join(taken, row)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+            .drop(row, copies, copy))

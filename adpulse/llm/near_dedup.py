@@ -186,5 +186,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
 def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` without near-duplicates of a document with a smaller id; all columns kept."""
-    gone = near_duplicates(docs, shingle, percent).filter("not kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    gone = near_duplicates(docs, shingle, percent).filter("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

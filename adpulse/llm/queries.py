@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adpulse.llm.ann import nearest
 from adpulse.llm.common import table
 from adpulse.llm.exact_dedup import exact_dedup
+from adpulse.llm.html_extract import extract
+from adpulse.llm.langid import identify
 from adpulse.llm.mixing import systematic_copies
 from adpulse.llm.near_dedup import near_duplicates
 from adpulse.llm.packing import pack
+from adpulse.llm.pii import personal_data
 from adpulse.llm.sharding import assign_shards
 from adpulse.llm.substring_dedup import remove_repeats
 
@@ -28,6 +32,11 @@ def _query(name: str, sql: str | None = None):
     return deco
 
 
+@_query("op1_pii")
+def op1(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @_query("op2_packing")
 def op2(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
@@ -57,6 +66,11 @@ def op4(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"), 16)
 
 
+@_query("op5_language_id")
+def op5(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
 @_query("op6_near_dedup", r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -80,6 +94,11 @@ def op6(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+@_query("op7_nearest_neighbours")
+def op7(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @_query("op8_exact_dedup", r"""
 SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
@@ -129,3 +148,8 @@ FROM u
 def op9(spark, sf_dir):
     out = systematic_copies(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@_query("op10_html_extraction")
+def op10(spark, sf_dir):
+    return extract(table(spark, sf_dir, "pages"))
