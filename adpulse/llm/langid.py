@@ -4,9 +4,9 @@ A text becomes the hashed counts of its character n-grams (one to three lower-ca
 letters, with word borders), damped by a logarithm, weighted by inverse
 document frequency and scaled to length one.  Every language has several
 centroids from spherical k-means; a text takes the language of the centroid
-with the largest cosine.  A text whose cosine stays below ``REJECT`` times the
-smallest cosine among the centroid's own training members is too far from
-everything learned and is rejected.
+with the largest cosine.  The language's radius is the cosine to its centroids
+that all but ``FARTHEST`` of its training members reach; a text that stays below
+``REJECT`` times that is too far from everything learned and is rejected.
 
 Fitting: document frequencies come from all training rows.  Centroids come from
 a sample of ``SAMPLE`` texts of each language, those with the smallest text
@@ -38,7 +38,8 @@ from adpulse.llm.common import stored, unused
 DIMENSIONS = 1 << 14
 SAMPLE = 1000
 CENTROIDS = 4
-REJECT = 0.5
+REJECT = 0.2
+FARTHEST = 0.01
 ROUNDS = 8
 UNKNOWN = "und"
 
@@ -79,24 +80,21 @@ def vector(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 def _clustered(idf: np.ndarray):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Spherical k-means over one language's sample, begun from far apart members."""
+        """Spherical k-means over one language's sample, begun from members alike in distance to the mean."""
         pdf = pdf.sort_values("order")
         x = [vector(c, idf) for c in map(ngram_counts, pdf["text"]) if c is not None]
         if not x:
             return pd.DataFrame({"lang": [], "centroid": [], "lowest": []})
         x = np.stack(x)
-        centres, near = [_unit(x.mean(axis=0))], None
-        while len(centres) < min(CENTROIDS, len(x)):
-            closest = np.max(x @ np.stack(centres).T, axis=1)
-            centres.append(x[int(closest.argmin())])
-        centres = np.stack(centres)
+        ranked = np.array_split((x @ _unit(x.mean(axis=0))).argsort(kind="stable"), min(CENTROIDS, len(x)))
+        centres = np.stack([_unit(x[members].mean(axis=0)) for members in ranked])
         for _ in range(ROUNDS):
             near = (x @ centres.T).argmax(axis=1)
             centres = np.stack([_unit(x[near == k].mean(axis=0)) if (near == k).any() else centres[k]
                                 for k in range(len(centres))])
         cosines = x @ centres.T
         near = cosines.argmax(axis=1)
-        lowest = [float(cosines[near == k, k].min()) if (near == k).any() else 1.0 for k in range(len(centres))]
+        lowest = float(np.quantile(cosines.max(axis=1), FARTHEST))
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [c.tolist() for c in centres], "lowest": lowest})
     return run
 
