@@ -122,8 +122,8 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame) -> tuple[DataFrame, Data
     pairs = stored(together.join(per_entity, "entity"), "pairs")
     looked_at = stored(pairs.select("term").distinct(), "terms")
     # The stored table's size decides whether it is sent to the rows or both are dealt out by term.
-    everywhere = (docs.select(F.monotonically_increasing_id().alias("row_id"),
-                              F.explode(_terms(F.split(text_or_empty(), SPACE))).alias("term")))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), text_or_empty().alias("text"))
+    everywhere = rows.select("row_id", F.explode(_terms(F.split("text", SPACE))).alias("term"))
     where = stored(everywhere.join(looked_at, "term", "left_semi"), "where")
     per_term = where.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n = docs.agg(F.count(F.lit(1)).alias("n"))

@@ -357,7 +357,7 @@ def test_taken_words_come_near_the_target(spark):
     for r in rows:
         taken[r.source] += r.copies * r["size"]
         target[r.source] = r.target
-    assert all(abs(taken[s] - target[s]) <= 0.03 * target[s] for s in target)
+    assert all(abs(taken[s] - target[s]) <= 0.02 * target[s] for s in target)
 
 
 # ------------------------------------------------------------- language ID
@@ -486,7 +486,7 @@ def test_personal_data(docs):
     got = sorted((tuple(r) for r in personal_data(docs).collect()), key=key)
     want = []
     for i, t in texts_of(docs):
-        if len(t or "") > 30_000:  # backtracking makes the plain patterns slow here
+        if set(t or "") == {"x"}:  # backtracking makes the plain patterns slow here
             t = ""
         spans = brute_spans(t)
         listed = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
