@@ -12,11 +12,16 @@ Inside a source every document expects ``target / size`` copies.  Documents
 are put in a fixed order by size class, the prefix sums of the expected copies
 start at one offset per source between 0 and 1, and a document is emitted once
 for each integer that its step crosses.  The order by size makes the words
-taken come near the target although sizes differ; offset and order come from
-hashes of source and id, so reruns agree.
+taken come near the target although sizes differ.  Two more steps serve sources
+with few or very uneven documents: documents that alone are more than
+1 / ``LARGE`` of the target are sampled first, and the others' expected copies
+then make up for what those took too much or too little; and of ``OFFSETS``
+evenly spaced offsets after the drawn one, the one whose words come nearest the
+target is taken.  All draws are hashes of source and id, so reruns agree.
 
 Prefix sums use ranks in two levels: rows are counted per (source, size class,
-hash block), at most 256 blocks for each of about 8 classes per power of two,
+hash block), at most 256 blocks for each of about 8 classes per power of two
+(apart for large documents),
 and windows only ever number the rows of one such block; a source that holds a
 third of the rows spreads over all its blocks, also when its documents are all
 of one size.
@@ -36,6 +41,8 @@ from adpulse.llm.common import n_words, stored, text_or_empty, unused
 
 MAX_REPEATS = 3
 SEED = "mix"
+OFFSETS = 32
+LARGE = 16
 
 
 def source_targets(sizes: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -87,25 +94,53 @@ def systematic_copies(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
                               F.col("source").cast("string").alias("source"),
                               n_words(text).alias("size")), "sizes")
     targets = source_targets(rows, max_repeats)
-    rows = rows.withColumns({
+    targets = targets.withColumnRenamed("source", "__s")
+    rows = rows.join(targets, F.col("source").eqNullSafe(F.col("__s"))).drop("__s").withColumns({
+        "large": F.col("size") * LARGE > F.col("target"),
         "__digest": F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary")),
         "__class": _size_class(F.col("size"))})
     rows = rows.withColumn("__block", F.substring("__digest", 1, 2))
-    blocks = rows.groupBy("source", "__class", "__block").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("source").orderBy("__class", "__block")
+    blocks = rows.groupBy("source", "large", "__class", "__block").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("source", "large").orderBy("__class", "__block")
     blocks = (blocks.withColumn("__first", F.sum("__n").over(before) - F.col("__n"))
-              .join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-              .select(F.col("source").alias("__s"), F.col("__class").alias("__c"), F.col("__block").alias("__b"),
-                      "__first", "source_size", "target"))
-    inside = Window.partitionBy("source", "__class", "__block").orderBy("size", "__digest", "doc_id", "row_id")
-    rows = (rows.withColumn("__i", F.row_number().over(inside))
-            .join(blocks, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__class") == F.col("__c"))
-                  & (F.col("__block") == F.col("__b"))))
+              .select(F.col("source").alias("__s"), F.col("large").alias("__l"), F.col("__class").alias("__c"),
+                      F.col("__block").alias("__b"), "__first"))
+    inside = Window.partitionBy("source", "large", "__class", "__block").orderBy("size", "__digest", "doc_id", "row_id")
+    ranked = stored(rows.withColumn("__i", F.row_number().over(inside)).join(
+        blocks, F.col("source").eqNullSafe(F.col("__s")) & (F.col("large") == F.col("__l"))
+        & (F.col("__class") == F.col("__c")) & (F.col("__block") == F.col("__b")))
+        .select("row_id", "doc_id", "size", "source", "source_size", "target", "large",
+                (F.col("__first") + F.col("__i")).alias("rank")), "ranked")
+
+    def copies(rate: Column, offset: Column) -> Column:
+        upto, below = F.floor(F.col("rank") * rate + offset), F.floor((F.col("rank") - 1) * rate + offset)
+        return (upto - below).cast("long")
+
+    def candidate(i: int) -> Column:
+        shifted = _offset(F.col("source")) + F.lit(i / OFFSETS)
+        return F.when(shifted >= 1, shifted - 1).otherwise(shifted)
+
+    def with_sources(per_source: DataFrame) -> DataFrame:
+        per_source = per_source.withColumnRenamed("source", "__s")
+        return ranked.join(per_source, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    upto = F.floor((F.col("__first") + F.col("__i")) * rate + _offset(F.col("source")))
-    below = F.floor((F.col("__first") + F.col("__i") - 1) * rate + _offset(F.col("source")))
-    return rows.withColumn("copies", (upto - below).cast("long")).select(
-        "row_id", "doc_id", "size", "source", "source_size", "target", "copies")
+    large = F.when(F.col("large"), copies(rate, _offset(F.col("source"))))
+    sampled = ranked.groupBy("source", "target").agg(
+        F.sum(F.coalesce(large * F.col("size"), F.lit(0))).alias("taken"),
+        F.sum(F.when(F.col("large"), 0).otherwise(F.col("size"))).alias("left"))
+    rest = (F.col("target") - F.col("taken")) / F.col("left")
+    rest = F.least(F.lit(float(max_repeats)), F.greatest(F.lit(0.0), rest))
+    rates = sampled.select("source", "taken", F.when(F.col("left") > 0, rest).otherwise(F.lit(0.0)).alias("rate"))
+    small = F.when(F.col("large"), 0).otherwise(F.col("size"))
+    tried = with_sources(rates).groupBy("source", "target", "taken", "rate").agg(*(
+        F.sum(small * copies(F.col("rate"), candidate(i))).alias(f"w{i}") for i in range(OFFSETS)))
+    best = F.array_min(F.array(*(F.struct(
+        F.abs(F.col("taken") + F.col(f"w{i}") - F.col("target")).alias("miss"), F.lit(i).alias("i"),
+        candidate(i).alias("offset")) for i in range(OFFSETS))))
+    chosen = tried.select("source", "rate", best["offset"].alias("offset"))
+    return (with_sources(chosen)
+            .withColumn("copies", F.coalesce(large, copies(F.col("rate"), F.col("offset"))))
+            .select("row_id", "doc_id", "size", "source", "source_size", "target", "copies"))
 
 
 def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:

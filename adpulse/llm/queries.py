@@ -132,18 +132,33 @@ t AS (
       ELSE CAST(weight * (SELECT remain FROM chosen) AS DOUBLE) / CAST((SELECT weights FROM chosen) AS DOUBLE) END AS target
   FROM s),
 ordered AS (
-  SELECT d.*, row_number() OVER (PARTITION BY source ORDER BY
-    CASE WHEN size < 16 THEN size ELSE (length(bin(size)) - 4) * 8 + (size >> (length(bin(size)) - 4)) END,
-    substr(md5(CAST(doc_id AS VARCHAR)), 1, 2), size, md5(CAST(doc_id AS VARCHAR)), doc_id) AS i
-  FROM d),
+  SELECT d.doc_id, d.source, size, source_size, target, size * 16 > target AS large,
+    row_number() OVER (PARTITION BY d.source, size * 16 > target ORDER BY
+      CASE WHEN size < 16 THEN size ELSE (length(bin(size)) - 4) * 8 + (size >> (length(bin(size)) - 4)) END,
+      substr(md5(CAST(doc_id AS VARCHAR)), 1, 2), size, md5(CAST(doc_id AS VARCHAR)), doc_id) AS i,
+    CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
+    CAST(('0x' || substr(md5('mix:' || coalesce(d.source, chr(0))), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE AS off
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+lg AS (
+  SELECT *, CASE WHEN large THEN size * CAST(floor(i * rate + off) - floor((i - 1) * rate + off) AS BIGINT) END AS big
+  FROM ordered),
+rest AS (
+  SELECT source, CAST(coalesce(sum(big), 0) AS BIGINT) AS gone,
+    CAST(coalesce(sum(size) FILTER (NOT large), 0) AS BIGINT) AS small FROM lg GROUP BY source),
 u AS (
-  SELECT o.doc_id, o.size, t.source_size, t.target, o.i,
-    CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-    CAST(('0x' || substr(md5('mix:' || coalesce(o.source, chr(0))), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE AS off
-  FROM ordered o JOIN t ON o.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-  size * CAST(floor(i * rate + off) - floor((i - 1) * rate + off) AS BIGINT) AS taken
-FROM u
+  SELECT lg.*, gone, CASE WHEN small > 0 THEN least(3.0::DOUBLE, greatest(0.0::DOUBLE, (target - gone) / small))
+    ELSE 0.0::DOUBLE END AS rate2 FROM lg JOIN rest ON lg.source IS NOT DISTINCT FROM rest.source),
+v AS (
+  SELECT u.*, c, CASE WHEN off + c / 32.0::DOUBLE >= 1 THEN off + c / 32.0::DOUBLE - 1
+    ELSE off + c / 32.0::DOUBLE END AS shifted FROM u, range(32) r(c)),
+w AS (
+  SELECT *, size * CAST(floor(i * rate2 + shifted) - floor((i - 1) * rate2 + shifted) AS BIGINT) AS little FROM v),
+b AS (
+  SELECT source, c, abs(gone + CAST(coalesce(sum(little) FILTER (NOT large), 0) AS BIGINT) - target) AS miss
+  FROM w GROUP BY source, c, gone, target),
+best AS (SELECT source, first(c ORDER BY miss, c) AS c FROM b GROUP BY source)
+SELECT doc_id, size, source_size, target, coalesce(big, little) AS taken
+FROM w JOIN best ON w.source IS NOT DISTINCT FROM best.source AND w.c = best.c
 """)
 def op9(spark, sf_dir):
     out = systematic_copies(table(spark, sf_dir, "documents"))
