@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from adpulse.sources.sinks import materialize
+
 
 def dedup_latest(df: DataFrame, key: str = "id", order: Sequence[str] = ("created",)) -> DataFrame:
     """One row per ``key``; the survivor is the row with the greatest
@@ -25,68 +27,46 @@ def dedup_latest(df: DataFrame, key: str = "id", order: Sequence[str] = ("create
         .select(*df.columns)
 
 
-_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
-
-
-def _order_number(c: Column, dtype: str) -> Column:
-    """The order key as a number (blocks are ranges of it)."""
-    if dtype.startswith("timestamp"):
-        return F.unix_micros(c.cast("timestamp"))
-    if dtype == "date":
-        return F.unix_date(c)
-    if dtype in _NUMERIC or dtype.startswith("decimal"):
-        return F.floor(c).cast("long")
-    raise TypeError(f"forward_fill orders by a numeric, date or timestamp column, not {dtype}")
-
-
 def forward_fill(df: DataFrame, col: str, order_col: str, partition_cols: Sequence[str] = (),
-                 block: int | None = None, n_blocks: int = 100_000, out: str | None = None) -> DataFrame:
+                 tie_cols: Sequence[str] = (), n_blocks: int | None = None, out: str | None = None) -> DataFrame:
     """``last(col, ignorenulls)`` over ``partition_cols`` ordered by
     ``order_col`` (UNBOUNDED PRECEDING .. CURRENT ROW), in two levels.
 
-    Rows are cut into blocks of consecutive order values, so one partition
-    value holding most rows still spreads over many window tasks:
+    Rows are range-partitioned on (partition, order, ties) into ``n_blocks``
+    blocks (default: the shuffle partitions) and stored with their block's
+    number.  The boundaries are quantiles of the rows themselves, so neither a
+    partition value holding most rows nor an outlier in the order column puts
+    many rows in one block:
 
     1. fill inside each (partition, block);
-    2. per (partition, block) keep the last non-null value - a table with one
-       row per block - and carry it forward across blocks with a window over
-       that small table;
+    2. per (partition, block) keep the last non-null value - a table with at most
+       one row per block and partition value - and carry it forward across
+       blocks with a window over that small table;
     3. rows still null after step 1 take the carry of their block.
 
-    The block width is ``block`` order units, or the key range divided into
-    ``n_blocks`` (min and max come from scalar subqueries, no driver round
-    trip), which bounds the carry table by ``n_blocks`` rows per partition.
-
-    Ordering by the filled column itself is the identity (nulls sort first,
-    and a non-null row is its own last non-null value), so it returns the
-    input unchanged without planning any window.
+    Equal order values are ordered by ``tie_cols`` and then by ``col`` itself, on
+    both levels, so the result depends on the rows' values alone.  Any type
+    with an order will do.  Ordering by the filled column itself is the
+    identity (nulls sort first, and a non-null row is its own last non-null
+    value), so it returns the input unchanged without planning any window.
     """
     out = out or col
     if order_col == col:
         return df if out == col else df.withColumn(out, F.col(col))
-    dtypes = dict(df.dtypes)
     parts = list(partition_cols)
-    key = _order_number(F.col(order_col), dtypes[order_col])
-    if block is not None:
-        x = df.withColumn("__blk", F.floor(key / F.lit(block)))
-    else:
-        lo = df.agg(F.min(key)).scalar()
-        width = df.agg(F.greatest(F.lit(1), F.ceil((F.max(key) - F.min(key) + F.lit(1))
-                                                 / F.lit(n_blocks)))).scalar()
-        x = df.withColumn("__blk", F.floor((key - lo) / width))
-    inner = (Window.partitionBy(*parts, "__blk").orderBy(F.col(order_col).asc_nulls_first())
+    n = n_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    in_order = [F.col(c).asc_nulls_first() for c in (order_col, *tie_cols, col)]
+    x = materialize(df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in parts], *in_order)
+                    .withColumn("__blk", F.spark_partition_id()), "fill-blocks")
+    inner = (Window.partitionBy(*parts, "__blk").orderBy(*in_order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumn("__local", F.last(col, ignorenulls=True).over(inner))
 
-    blocks = x.select(*parts, "__blk").distinct()
-    last_in_block = (x.filter(F.col(col).isNotNull())
-                     .groupBy(*parts, "__blk")
-                     .agg(F.max_by(F.col(col), F.col(order_col)).alias("__last")))
-    across = (Window.partitionBy(*parts).orderBy(F.col("__blk").asc_nulls_first())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (blocks.join(last_in_block, parts + ["__blk"], "left")
-             .select(*parts, "__blk", F.last("__last", ignorenulls=True).over(across).alias("__carry")))
-    # eqNullSafe: a null order value makes a null block, which is a block too.
+    place = F.struct(*[F.col(c) for c in (order_col, *tie_cols, col)])
+    last_in_block = (x.groupBy(*parts, "__blk")
+                     .agg(F.max(F.when(F.col(col).isNotNull(), place))[col].alias("__last")))
+    across = (Window.partitionBy(*parts).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1))
+    carry = last_in_block.select(*parts, "__blk", F.last("__last", ignorenulls=True).over(across).alias("__carry"))
     cond = [x[c].eqNullSafe(carry[c]) for c in parts + ["__blk"]]
     joined = x.join(carry, cond, "left").select(x["*"], carry["__carry"])
     return (joined.withColumn(out, F.coalesce(F.col("__local"), F.col("__carry")))

@@ -12,7 +12,7 @@ def dedup_audit(df: DataFrame, key: str = "id") -> DataFrame:
     """Rows before and after dropping duplicate ``key``s (null keys count as
     one group, as in ``dropDuplicates``) and the difference, in one pass."""
     after = (F.count_distinct(F.col(key))
-             + F.max(F.when(F.col(key).isNull(), F.lit(1)).otherwise(F.lit(0)))).cast("long")
+             + F.coalesce(F.max(F.when(F.col(key).isNull(), F.lit(1)).otherwise(F.lit(0))), F.lit(0))).cast("long")
     return (df.agg(F.count(F.lit(1)).alias("rows_before"), after.alias("rows_after"))
             .withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after")))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from adpulse.functions.scalars import place_name_fallback
 from adpulse.schemas import PLACE_COLUMNS
+from adpulse.sources.sinks import materialize
 
 EARTH_RADIUS_KM = 6371.0
 KM_PER_DEGREE = EARTH_RADIUS_KM * math.pi / 180.0
@@ -87,8 +88,44 @@ def _tiling(cell_deg: float) -> float:
     return 360.0 / n
 
 
-def nearest_places(coords: DataFrame, places: DataFrame, max_km: float = 50.0,
+#: Half the circumference: no two points are further apart.
+FARTHEST_KM = 20_020.0
+#: First search radius; unmatched coordinates are tried again at ``WIDEN`` times the radius.
+FIRST_KM = 2.0
+WIDEN = 8.0
+
+
+def nearest_places(coords: DataFrame, places: DataFrame, max_km: float | None = None,
                    cell_deg: float | None = None) -> DataFrame:
+    """Nearest place of each distinct (longitude, latitude), however far it is
+    (or within ``max_km``, if given).
+
+    The search begins in a small radius, where even a dense city leaves a few
+    candidates per coordinate; only the coordinates that found nothing go on to
+    the next, wider one.  A place found within a radius is the nearest, as all
+    nearer ones lie within it too.  Coordinates without latitude or longitude
+    have no place.
+    """
+    limit = FARTHEST_KM if max_km is None else max_km
+    radius = min(limit, FIRST_KM)
+    left = materialize(coords.select(*COORDS).dropna().distinct(), "coordinates")
+    found = []
+    while True:
+        near = materialize(_nearest_within(left, places, radius, cell_deg), "nearest")
+        found.append(near)
+        if radius >= limit:
+            break
+        left = materialize(left.join(near.select(*COORDS), COORDS, "left_anti"), "coordinates")
+        if left.isEmpty():
+            break
+        radius = min(limit, radius * WIDEN)
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _nearest_within(coords: DataFrame, places: DataFrame, max_km: float, cell_deg: float | None) -> DataFrame:
     """Nearest place within ``max_km`` of each distinct (longitude, latitude).
 
     Places are copied into every grid cell within reach (rows of cells
@@ -138,14 +175,14 @@ def nearest_places(coords: DataFrame, places: DataFrame, max_km: float = 50.0,
 
 
 def reverse_geocode(points: DataFrame, places: DataFrame, id_col: str = "point_id",
-                    max_km: float = 50.0, cell_deg: float | None = None) -> DataFrame:
-    """Each point with its nearest place within ``max_km`` (else nulls)."""
+                    max_km: float | None = None, cell_deg: float | None = None) -> DataFrame:
+    """Each point with its nearest place (nulls if ``max_km`` is given and none is that near)."""
     near = nearest_places(points, places, max_km, cell_deg)
     return (points.join(near, COORDS, "left")
             .select(*points.columns, *PLACE_COLUMNS, "distance_km"))
 
 
-def fill_from_nearest(df: DataFrame, places: DataFrame, max_km: float = 50.0,
+def fill_from_nearest(df: DataFrame, places: DataFrame, max_km: float | None = None,
                       cell_deg: float | None = None) -> DataFrame:
     """C2 variant: complete null place parts from the nearest place."""
     need = df.filter(any_place_missing())

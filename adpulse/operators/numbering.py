@@ -3,15 +3,16 @@
 ``row_number() OVER (ORDER BY k)`` with no partition sends every row to one
 task.  Instead:
 
-1. range-partition the rows on the order keys into ``n`` partitions and sort
-   inside each partition;
-2. number rows inside each partition (``monotonically_increasing_id`` keeps
-   the in-partition position in its low 33 bits);
+1. range-partition the rows on the order keys into ``n`` partitions and store
+   them with their partition's number in the shared folder, so that everything
+   after reads one fixed assignment (two plans that each sample their own
+   boundaries would not agree, and a retried task could move rows);
+2. number the rows of each partition by a window over (partition);
 3. count rows per partition and turn the counts into prefix offsets - a table
    of at most ``n`` rows, broadcast back.
 
-rank = offset(partition) + position + 1.  The result equals the global
-``row_number`` for unique keys (ties get an arbitrary but fixed order).
+rank = offset(partition) + position.  The result equals the global
+``row_number``; rows with equal keys are ordered by their other columns.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_MASK = (1 << 33) - 1
+from adpulse.sources.sinks import materialize
 
 
 def _order(cols: Sequence[str]) -> list[Column]:
@@ -31,19 +32,19 @@ def _order(cols: Sequence[str]) -> list[Column]:
 def global_rank(df: DataFrame, order_cols: Sequence[str], name: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Add a 1-based ``name`` column equal to row_number() over the global order."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, *_order(order_cols))
-               .sortWithinPartitions(*_order(order_cols))
-               .withColumns({"__pid": F.spark_partition_id(),
-                             "__mid": F.monotonically_increasing_id()}))
-    counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.repartitionByRange(n, *_order(order_cols))
+                         .withColumn("__pid", F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     # At most n rows: bounded by construction, so broadcasting is safe.
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    return (ordered.join(F.broadcast(offsets), "__pid")
-            .withColumn(name, F.col("__off") + F.col("__mid").bitwiseAND(_POS_MASK) + F.lit(1))
-            .drop("__pid", "__mid", "__off"))
+    rest = [c for c, kind in df.dtypes if c not in order_cols and not kind.startswith("map")]
+    inside = Window.partitionBy("__pid").orderBy(*_order([*order_cols, *rest]))
+    return (ranged.withColumn("__pos", F.row_number().over(inside))
+            .join(F.broadcast(offsets), "__pid")
+            .withColumn(name, F.col("__off") + F.col("__pos"))
+            .drop("__pid", "__pos", "__off"))
 
 
 def assign_ids(df: DataFrame, order_cols: Sequence[str], base, name: str = "campaign_id",

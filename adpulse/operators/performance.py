@@ -104,13 +104,14 @@ def campaign_stats_table(campaigns: DataFrame, jobs: DataFrame, clicks: DataFram
 
 
 def performance_mart(campaigns: DataFrame, jobs: DataFrame, clicks: DataFrame,
-                     match_state: bool = False, materialize: bool = True) -> DataFrame:
+                     match_state: bool = False, materialize: bool = False) -> DataFrame:
     """24-column daily performance per (campaign, job, date).
 
     All aggregation happens on job-day rows; the campaign fan-out is the last
-    join.  With ``materialize`` the job-day table is written once to the
-    shared folder and read back, so the clicks are scanned and aggregated
-    once although the table feeds both the day totals and the rows.
+    join.  With ``materialize`` (the monthly run asks for it) the job-day table
+    is written once to the shared folder and read back, so the clicks are
+    scanned and aggregated once although the table feeds both the day totals
+    and the rows; otherwise the plan stays lazy.
     """
     keys = _keys(match_state)
     jd = _materialize(job_daily(jobs, clicks, match_state), materialize)

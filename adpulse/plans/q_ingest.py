@@ -62,6 +62,24 @@ def sink_roundtrip(spark, sf_dir):
     return spark.read.schema(ev.schema).parquet(path).select(*ev.columns)
 
 
+@register("rerun_smaller_month", f"SELECT * FROM ({_EV_SQL}) WHERE year = 2024 AND month = 1 AND day <> 15")
+def rerun_smaller_month(spark, sf_dir):
+    """A month written again without one of its days: that day goes."""
+    ev, path = _events_by_day(spark, sf_dir)
+    january = ev.filter("year = 2024 and month = 1 and day <> 15").drop("year", "month")
+    sinks.replace_scope(january, path, {"year": 2024, "month": 1}, ["day"])
+    return readers.read_month(spark, path, 2024, 1, january.schema).select(*ev.columns)
+
+
+@register("rerun_empty_day", f"SELECT * FROM ({_EV_SQL}) WHERE NOT (year = 2024 AND month = 1 AND day = 15)")
+def rerun_empty_day(spark, sf_dir):
+    """A day written again without rows: its earlier rows go, others stay."""
+    ev, path = _events_by_day(spark, sf_dir)
+    day = {"year": 2024, "month": 1, "day": 15}
+    sinks.replace_scope(ev.filter(F.lit(False)).drop(*day), path, day)
+    return spark.read.schema(ev.schema).parquet(path).select(*ev.columns)
+
+
 _SWAP_SQL = (f"SELECT id, COALESCE(contract_time, 'full_time') AS contract_time, city, latitude "
              f"FROM ({fx.events_as_ads_sql()})")
 
@@ -371,7 +389,7 @@ WITH q AS ({fx.customer_points_sql(2)}), p AS ({_PLACES_NORM}),
 d AS (SELECT q.point_id, p.longitude AS plon, p.latitude AS plat, p.city, p.county, p.state, p.country,
              {_HAV} AS dist FROM q, p),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY dist, plon, plat) AS rn
-                        FROM d WHERE dist <= 50.0) WHERE rn = 1)
+                        FROM d) WHERE rn = 1)
 SELECT q.point_id, q.longitude, q.latitude, best.city, best.county, best.state, best.country
 FROM q LEFT JOIN best ON q.point_id = best.point_id""")
 def reverse_geocode(spark, sf_dir):
@@ -525,12 +543,12 @@ d AS (SELECT a.longitude AS qlon, a.latitude AS qlat, p.longitude AS plon, p.lat
              p.city, p.county, p.state, p.country, {_HAV_ADS} AS dist
       FROM pts a, p),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qlon, qlat ORDER BY dist, plon, plat) AS rn
-                        FROM d WHERE dist <= 50.0) WHERE rn = 1)
+                        FROM d) WHERE rn = 1)
 SELECT a.id, COALESCE(a.city, b.city) AS city, COALESCE(a.county, b.county) AS county,
        COALESCE(a.state, b.state) AS state, COALESCE(a.country, b.country) AS country
 FROM a LEFT JOIN best b ON a.longitude = b.qlon AND a.latitude = b.qlat""")
 def geo_fill_nearest(spark, sf_dir):
-    """J9 inside C2: incomplete places filled from the nearest place within 50 km."""
+    """J9 inside C2: incomplete places filled from the nearest place."""
     ads = clean.drop_missing_coordinates(fx.events_as_ads(spark, sf_dir))
-    return geo.fill_from_nearest(ads, fx.supplier_places(spark, sf_dir), max_km=50.0) \
+    return geo.fill_from_nearest(ads, fx.supplier_places(spark, sf_dir)) \
         .select("id", "city", "county", "state", "country")

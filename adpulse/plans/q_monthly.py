@@ -147,11 +147,11 @@ def monthly_jobs_query(spark, sf_dir):
 
 
 @register("dedup_audit", f"""
+WITH f AS ({_F2_DUP})
 SELECT CAST(count(*) AS BIGINT) AS rows_before,
-       CAST(count(DISTINCT id) + max(CASE WHEN id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_after,
-       CAST(count(*) - count(DISTINCT id) - max(CASE WHEN id IS NULL THEN 1 ELSE 0 END) AS BIGINT)
-           AS duplicates_removed
-FROM ({_F2_DUP})""")
+       (SELECT count(*) FROM (SELECT DISTINCT id FROM f)) AS rows_after,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT id FROM f)) AS duplicates_removed
+FROM f""")
 def dedup_audit(spark, sf_dir):
     return dq.dedup_audit(fx.events_as_ads(spark, sf_dir, dup=True), "id")
 

@@ -3,7 +3,8 @@
 Everything the library writes between steps (swap folders, scratch copies of
 fixtures, checkpoints) lives under the folder the cluster names in
 ``spark.checkpoint.dir``.  A local temporary folder is only chosen when that
-setting is missing, which is the case in unit tests.
+setting is missing and the master is local, which is the case in unit tests;
+on a cluster a missing setting is an error, as executors do not share disks.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="adpulse-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from adpulse.schemas import RAW_SCHEMA, SEARCH_SCHEMA
-from adpulse.sources.sinks import path_exists
+from adpulse.sources.sinks import path_exists, recover, recover_below, scope_path
 
 CORRUPT = "_corrupt_record"
 
@@ -38,20 +38,39 @@ def _ymd(day: dt.date | str):
     return d.year, d.month, d.day
 
 
-def read_day(spark: SparkSession, base: str, day) -> DataFrame:
-    """One day of a dataset partitioned by year/month/day (partition pruning)."""
+def read_scope(spark: SparkSession, base: str, scope: dict, schema: StructType | None = None) -> DataFrame:
+    """One scope of a table with ``key=value`` folders: only that folder is
+    listed, whatever the table's age.  With a ``schema`` a missing or empty
+    scope gives no rows."""
+    path = scope_path(base, scope)
+    recover(spark, path)
+    recover_below(spark, path)
+    if schema is not None and not path_exists(spark, path):
+        return spark.createDataFrame([], schema).withColumns({k: F.lit(v) for k, v in scope.items()})
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    if schema is not None:
+        # the scope's own values are constants, the folders below are read
+        return reader.parquet(path).withColumns({k: F.lit(v) for k, v in scope.items()})
+    return reader.option("basePath", base).parquet(path)
+
+
+def read_day(spark: SparkSession, base: str, day, schema: StructType | None = None) -> DataFrame:
+    """One day of a dataset partitioned by year/month/day."""
     y, m, d = _ymd(day)
-    return spark.read.parquet(base).where((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
+    return read_scope(spark, base, {"year": y, "month": m, "day": d}, schema)
 
 
-def read_month(spark: SparkSession, base: str, year: int, month: int) -> DataFrame:
+def read_month(spark: SparkSession, base: str, year: int, month: int,
+               schema: StructType | None = None) -> DataFrame:
     """S3: every day of one month."""
-    return spark.read.parquet(base).where((F.col("year") == year) & (F.col("month") == month))
+    return read_scope(spark, base, {"year": year, "month": month}, schema)
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at ``path``, or an empty one with ``schema`` when there is
-    none.  Other read errors propagate."""
+    none.  A swap that was cut short is completed first, so a table that
+    exists is never taken for missing.  Other read errors propagate."""
+    recover(spark, path)
     if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)

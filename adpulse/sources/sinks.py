@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from adpulse.session import shared_dir
 
 
+#: Folders that ``materialize`` wrote and ``clear_scratch`` has yet to delete.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, name)
 
@@ -30,7 +32,8 @@ def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols) -> None:
-    """Replace only the partitions present in ``df`` (idempotent re-runs).
+    """Replace the partitions present in ``df`` and no others (a table that
+    is fed partition by partition; ``replace_scope`` replaces a whole day or month).
 
     The rebalance hint lets AQE cluster rows by the partition values while
     splitting a hot partition value over several tasks, so each output folder
@@ -42,32 +45,87 @@ def write_partitions(df: DataFrame, path: str, partition_cols) -> None:
        .parquet(path))
 
 
+def _beside(path: str, kind: str) -> str:
+    """The hidden sibling of a folder: readers and partition discovery skip
+    names that begin with ``_`` and hold no ``=``."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{kind}-{name.replace('=', '~')}"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish or undo a swap of ``path`` that was cut short.
+
+    A swap leaves one of three states: the target in place (at most leftovers
+    beside it), or the target moved aside with a complete new folder (moved in
+    now), or moved aside without one (moved back).
+    """
+    fs, target = _fs(spark, path)
+    _, staged = _fs(spark, _beside(path, "new"))
+    _, backup = _fs(spark, _beside(path, "old"))
+    if not fs.exists(target) and fs.exists(backup):
+        _, done = _fs(spark, _beside(path, "new") + "/_SUCCESS")
+        source = staged if fs.exists(done) else backup
+        if not fs.rename(source, target):
+            raise OSError(f"could not restore {path}")
+    for leftover in (staged, backup):
+        if fs.exists(target) and fs.exists(leftover):
+            fs.delete(leftover, True)
+
+
+def recover_below(spark: SparkSession, path: str) -> None:
+    """``recover`` for every folder directly below ``path`` that was being swapped."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name.startswith("_old-"):
+            recover(spark, f"{path}/{name[5:].replace('~', '=')}")
+
+
 def write_swap(df: DataFrame, path: str, partition_cols=()) -> None:
     """Overwrite a dataset that ``df`` itself reads.
 
     Writing straight into ``path`` would delete the input before it is read.
-    The result is written completely to a sibling folder first; then the old
+    The result is written completely to a hidden sibling first; then the old
     folder is moved aside, the new one moved into place, and only then is the
-    old one deleted - at any crash point a complete copy exists on storage.
+    old one deleted.  ``recover``, which the readers of such tables call, puts
+    a complete table back whatever step a crash came after.
     """
     spark = df.sparkSession
-    tmp = f"{path.rstrip('/')}.__swap-{uuid.uuid4().hex[:8]}"
+    recover(spark, path)
     w = df.write.mode("overwrite")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    w.parquet(tmp)
+    w.parquet(_beside(path, "new"))
     fs, target = _fs(spark, path)
-    _, staged = _fs(spark, tmp)
-    _, backup = _fs(spark, f"{path.rstrip('/')}.__old-{uuid.uuid4().hex[:8]}")
-    had_old = bool(fs.exists(target))
-    if had_old and not fs.rename(target, backup):
+    _, backup = _fs(spark, _beside(path, "old"))
+    if fs.exists(target) and not fs.rename(target, backup):
         raise OSError(f"could not move {path} aside")
+    _, staged = _fs(spark, _beside(path, "new"))
+    fs.mkdirs(target.getParent())
     if not fs.rename(staged, target):
-        if had_old:
-            fs.rename(backup, target)
-        raise OSError(f"could not move {tmp} to {path}")
-    if had_old:
-        fs.delete(backup, True)
+        recover(spark, path)
+        raise OSError(f"could not move the new {path} into place")
+    recover(spark, path)
+
+
+def scope_path(base: str, scope: dict) -> str:
+    return "/".join([base.rstrip("/"), *(f"{k}={v}" for k, v in scope.items())])
+
+
+def replace_scope(df: DataFrame, base: str, scope: dict, partition_cols=()) -> None:
+    """Make ``df`` the whole content of one scope (a day or a month) of a
+    table with ``key=value`` folders, e.g. ``{"year": 2025, "month": 8}``.
+
+    Everything the scope held before goes, also partitions and rows that the
+    new result no longer has; an empty result leaves an empty scope.  Other
+    scopes stay untouched.  Files are right-sized by AQE when ``partition_cols``
+    spread the rows over folders.
+    """
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
+    write_swap(df, scope_path(base, scope), partition_cols)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -88,5 +146,13 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     recomputing it, and lineage is cut there (survives lost executors)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _scratch.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables that ``materialize`` made in this session."""
+    while _scratch:
+        fs, p = _fs(spark, _scratch.pop())
+        fs.delete(p, True)

@@ -10,7 +10,9 @@ file's ``YYYY/MM/DD`` folder.
 Run with ``availableNow=True`` it processes everything new and stops - a
 restartable replacement for the daily batch.  Output partitions are
 (year, month, day, batch_id), so a retried micro-batch overwrites its own
-files instead of appending twice.  Duplicates inside a
+files instead of appending twice.  The checkpoint lies beside the table by
+default, so a restart continues where the last run ended.  The daily batch run
+writes the same layout (``batch_id=-1``), so both can fill one table.  Duplicates inside a
 micro-batch are dropped there; an ad landed again in a later batch is
 removed by the monthly dedup (``monthly_jobs``), as in the reference.
 """
@@ -22,7 +24,6 @@ from pyspark.sql import functions as F
 
 from adpulse.plans.pipeline import daily_final
 from adpulse.schemas import RAW_SCHEMA
-from adpulse.session import shared_dir
 
 _DAY_PATTERN = r"/(\d{4})/(\d{2})/(\d{2})/[^/]*$"
 
@@ -46,7 +47,7 @@ def start_incremental_ingest(spark: SparkSession, raw_root: str, places: DataFra
                              checkpoint: str | None = None, available_now: bool = True,
                              max_files: int | None = None, **options):
     """Start the stream; returns the StreamingQuery (call ``awaitTermination``)."""
-    checkpoint = checkpoint or shared_dir(spark, "ingest-checkpoint")
+    checkpoint = checkpoint or f"{base}/_checkpoints/ingest"
     stream = raw_stream(spark, raw_root, max_files)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:

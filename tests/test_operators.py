@@ -39,7 +39,7 @@ def test_forward_fill_matches_window_across_blocks(spark):
     df = spark.createDataFrame(rows, "k long, g string, v long")
     w = Window.partitionBy("g").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     want = {r.k: r.v for r in df.select("k", F.last("v", True).over(w).alias("v")).collect()}
-    got = {r.k: r.v for r in clean.forward_fill(df, "v", "k", ["g"], block=7).collect()}
+    got = {r.k: r.v for r in clean.forward_fill(df, "v", "k", ["g"], n_blocks=7).collect()}
     assert got == want
     got = {r.k: r.v for r in clean.forward_fill(df, "v", "k", ["g"], n_blocks=13).collect()}
     assert got == want
