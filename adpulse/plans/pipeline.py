@@ -20,6 +20,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from adpulse.operators.campaigns import campaigns_incremental
 from adpulse.operators.clicks import generate_clicks
@@ -28,7 +29,7 @@ from adpulse.operators.ingest import flatten_ads, ingest, parse_json
 from adpulse.operators.jobs import monthly_jobs
 from adpulse.operators.performance import performance_mart
 from adpulse.operators.stages import clean_and_locate, finalize
-from adpulse.schemas import API_RESULT_SCHEMA, CAMPAIGN_SCHEMA
+from adpulse.schemas import API_RESULT_SCHEMA, CAMPAIGN_SCHEMA, RAW_SCHEMA
 from adpulse.sources import readers, sinks
 
 
@@ -42,6 +43,12 @@ def daily_final(raw: DataFrame, places: DataFrame, fill_order: str | None = None
     return finalize(add_features(clean_and_locate(ingest(raw), places, fill_order, max_km)))
 
 
+def final_schema(spark: SparkSession) -> StructType:
+    """Columns of the final ads, whether or not any are stored."""
+    rows = ingest(spark.createDataFrame([], RAW_SCHEMA)).withColumn("created", F.col("created").cast("string"))
+    return finalize(add_features(rows)).schema
+
+
 #: The ``batch_id`` of rows that the daily run wrote.
 DAILY = -1
 
@@ -96,9 +103,8 @@ def run_monthly(spark: SparkSession, base: str, year: int, month: int,
     then, and the tables of an earlier run stay.
     """
     ym = {"year": year, "month": month}
-    if not sinks.path_exists(spark, sinks.scope_path(f"{base}/final", ym)):
-        raise ValueError(f"no final ads for {year}-{month:02}")
-    final = readers.read_month(spark, f"{base}/final", year, month).drop("year", "month", "day", "batch_id")
+    final = (readers.read_month(spark, f"{base}/final", year, month, final_schema(spark))
+             .drop("year", "month", "day", "batch_id"))
     if final.isEmpty():
         raise ValueError(f"no final ads for {year}-{month:02}")
 
