@@ -54,6 +54,12 @@ F1_NULL_EXPRS = {
     "state": "CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_type END",
 }
 
+# Variant whose keys grow with the data: a firm for every four parts.
+F1_WIDE_EXPRS = {
+    **F1_EXPRS,
+    "company_name": "concat('firm ', CAST(CAST(floor(p_partkey / 4) AS BIGINT) AS STRING))",
+}
+
 
 def _f1_exprs_spark(exprs: dict[str, str]) -> dict[str, str]:
     # Spark reads 0.25 as DECIMAL; keep the double arithmetic of DuckDB.
@@ -61,25 +67,25 @@ def _f1_exprs_spark(exprs: dict[str, str]) -> dict[str, str]:
             for k, v in exprs.items()}
 
 
-def parts_as_ads(spark, sf_dir, with_nulls: bool = False) -> DataFrame:
-    exprs = F1_NULL_EXPRS if with_nulls else F1_EXPRS
+def parts_as_ads(spark, sf_dir, with_nulls: bool = False, wide: bool = False) -> DataFrame:
+    exprs = F1_WIDE_EXPRS if wide else F1_NULL_EXPRS if with_nulls else F1_EXPRS
     return _select_exprs(table(spark, sf_dir, "part"), _f1_exprs_spark(exprs))
 
 
-def parts_as_ads_sql(with_nulls: bool = False) -> str:
-    exprs = F1_NULL_EXPRS if with_nulls else F1_EXPRS
+def parts_as_ads_sql(with_nulls: bool = False, wide: bool = False) -> str:
+    exprs = F1_WIDE_EXPRS if wide else F1_NULL_EXPRS if with_nulls else F1_EXPRS
     return f"SELECT {_sql_select(exprs)} FROM part"
 
 
 CAMPAIGN_BUDGET_FIXTURE = 5_000_000
 
 
-def campaigns_from_parts(spark, sf_dir) -> DataFrame:
+def campaigns_from_parts(spark, sf_dir, wide: bool = False) -> DataFrame:
     """Mart fixture: one campaign per (brand, type), ids numbered from 1001 in
     key order, cpa_target = trunc(avg_bid * 30), fixed budget and margin."""
     from adpulse.operators.numbering import assign_ids
 
-    ads = parts_as_ads(spark, sf_dir)
+    ads = parts_as_ads(spark, sf_dir, wide=wide)
     groups = (ads.groupBy("company_name", "state")
               .agg((F.avg("bid") * F.lit(30.0)).cast("int").alias("cpa_target")))
     return (assign_ids(groups, ["company_name", "state"], F.lit(1000).cast("long"))
@@ -88,20 +94,37 @@ def campaigns_from_parts(spark, sf_dir) -> DataFrame:
                     F.lit(0.3).alias("margin")))
 
 
-def campaigns_from_parts_sql() -> str:
+def campaigns_from_parts_sql(wide: bool = False) -> str:
     return f"""
     SELECT CAST(1000 + row_number() OVER (ORDER BY company_name NULLS FIRST, state NULLS FIRST) AS BIGINT) AS campaign_id,
            company_name, state, cpa_target, {CAMPAIGN_BUDGET_FIXTURE} AS budget, 0.3::DOUBLE AS margin
     FROM (SELECT company_name, state, CAST(trunc(avg(bid) * 30.0::DOUBLE) AS INTEGER) AS cpa_target
-          FROM ({parts_as_ads_sql()}) GROUP BY company_name, state)"""
+          FROM ({parts_as_ads_sql(wide=wide)}) GROUP BY company_name, state)"""
+
+
+def jobs_from_parts(spark, sf_dir, wide: bool = False) -> DataFrame:
+    return parts_as_ads(spark, sf_dir, wide=wide).select("job_id", "title", "city", "company_name", "state")
+
+
+def jobs_from_parts_sql(wide: bool = False) -> str:
+    return f"SELECT job_id, title, city, company_name, state FROM ({parts_as_ads_sql(wide=wide)})"
+
+
+# F1 over orders: a campaign key for every customer and priority, some parts null.
+F1_ORDERS_EXPRS = {
+    "job_id": "o_orderkey",
+    "company_name": "CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE concat('Customer ', CAST(o_custkey AS STRING)) END",
+    "state": "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END",
+    "bid": "CAST(ceil(o_totalprice / 100000 / 0.25) AS DOUBLE) * 0.25",
+}
 
 
-def jobs_from_parts(spark, sf_dir) -> DataFrame:
-    return parts_as_ads(spark, sf_dir).select("job_id", "title", "city", "company_name", "state")
+def orders_as_ads(spark, sf_dir) -> DataFrame:
+    return _select_exprs(table(spark, sf_dir, "orders"), _f1_exprs_spark(F1_ORDERS_EXPRS))
 
 
-def jobs_from_parts_sql() -> str:
-    return f"SELECT job_id, title, city, company_name, state FROM ({parts_as_ads_sql()})"
+def orders_as_ads_sql() -> str:
+    return f"SELECT {_sql_select(F1_ORDERS_EXPRS)} FROM orders"
 
 
 # ---------------------------------------------------------------------------

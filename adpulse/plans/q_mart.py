@@ -11,7 +11,8 @@ from adpulse.sources import readers, sinks
 
 # The mart stated from its formulas: totals of a job's day, shares of a firm's
 # day, and the running spend of a job, before any campaign is looked at.
-_PLACED = f"""
+def _placed(wide: bool = False) -> str:
+    return f"""
 paid AS (SELECT job_id, date, sum(cost) AS money, count(*) AS n, sum(is_applicant) AS hired
          FROM ({fx.lineitem_as_clicks_sql()}) GROUP BY job_id, date),
 placed AS (
@@ -19,13 +20,18 @@ placed AS (
            sum(p.money) OVER (PARTITION BY p.job_id ORDER BY p.date
                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS money_before,
            sum(p.money) OVER firm_day AS firm_money, count(*) OVER firm_day AS firm_jobs
-    FROM ({fx.jobs_from_parts_sql()}) j JOIN paid p USING (job_id)
+    FROM ({fx.jobs_from_parts_sql(wide)}) j JOIN paid p USING (job_id)
     WINDOW firm_day AS (PARTITION BY j.company_name, p.date)),
 owned AS (SELECT k.*, placed.* EXCLUDE (firm)
-          FROM placed JOIN ({fx.campaigns_from_parts_sql()}) k ON k.company_name = placed.firm)"""
+          FROM placed JOIN ({fx.campaigns_from_parts_sql(wide)}) k ON k.company_name = placed.firm)"""
 
-MART_SQL = f"""
-WITH {_PLACED},
+
+_PLACED = _placed()
+
+
+def _mart_sql(wide: bool = False) -> str:
+    return f"""
+WITH {_placed(wide)},
 shares AS (
     SELECT *, CAST(money AS DOUBLE) AS spend, CAST(firm_money AS DOUBLE) AS total_spend,
            CAST(money_before AS DOUBLE) AS spend_until_yesterday, CAST(budget AS DOUBLE) / firm_jobs AS budget_per_job,
@@ -46,8 +52,11 @@ FROM days
 """
 
 
-def _inputs(spark, sf_dir):
-    return (fx.campaigns_from_parts(spark, sf_dir), fx.jobs_from_parts(spark, sf_dir),
+MART_SQL = _mart_sql()
+
+
+def _inputs(spark, sf_dir, wide: bool = False):
+    return (fx.campaigns_from_parts(spark, sf_dir, wide), fx.jobs_from_parts(spark, sf_dir, wide),
             fx.lineitem_as_clicks(spark, sf_dir))
 
 
@@ -56,6 +65,12 @@ def performance_mart(spark, sf_dir):
     return perf.performance_mart(*_inputs(spark, sf_dir))
 
 
+@register("performance_mart_wide", _mart_sql(wide=True))
+def performance_mart_wide(spark, sf_dir):
+    """C8 over campaigns and firms whose number grows with the data."""
+    return perf.performance_mart(*_inputs(spark, sf_dir, wide=True))
+
+
 @register("clicks_agg", f"""
 WITH {_PLACED}
 SELECT date, campaign_id, job_id, company_name, state, title, city, cpa_target, n AS clicks,

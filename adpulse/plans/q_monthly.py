@@ -86,13 +86,13 @@ def keep_lowest_id(spark, sf_dir):
     return camp.keep_lowest_id(old.unionByName(dup))
 
 
-def _campaigns_sql() -> str:
+def _campaigns_sql(cte: str = _CTE) -> str:
     cpa = SqlDraws("cpa", ["company_name", "state"], normals=1)
     plan = SqlDraws("plan", ["company_name", "state"], uniforms=2)
     budget = SqlDraws.choice(plan.uniform(0, "hp"), BUDGET_CHOICES)
     margin = SqlDraws.choice(plan.uniform(1, "hp"), MARGIN_CHOICES)
     return f"""
-{_CTE},
+{cte},
 agg AS (SELECT company_name, state, avg(bid) AS avg_bid FROM ads
         WHERE company_name IS NOT NULL GROUP BY company_name, state),
 fresh AS (SELECT a.*, CAST({_MAX_ID} + row_number() OVER (ORDER BY company_name NULLS FIRST,
@@ -120,6 +120,37 @@ def campaigns_first_run(spark, sf_dir):
     return camp.campaigns_incremental(None, fx.parts_as_ads(spark, sf_dir, with_nulls=True))
 
 
+# The same over keys that grow with the data (a key per customer and priority), from an empty table.
+_WIDE_CTE = f"WITH ads AS ({fx.orders_as_ads_sql()}), old AS (SELECT * FROM ({_old_sql()}) WHERE false)"
+
+
+@register("campaigns_wide", _campaigns_sql(_WIDE_CTE))
+def campaigns_wide(spark, sf_dir):
+    return camp.campaigns_incremental(None, fx.orders_as_ads(spark, sf_dir))
+
+
+@register("assign_ids_wide", f"""
+{_WIDE_CTE}
+SELECT CAST(1000 + row_number() OVER (ORDER BY company_name NULLS FIRST, state NULLS FIRST) AS BIGINT) AS campaign_id,
+       company_name, state, n_ads
+FROM (SELECT company_name, state, count(*) AS n_ads FROM ads GROUP BY company_name, state)""")
+def assign_ids_wide(spark, sf_dir):
+    """W2 with a payload column that the count of rows does not need."""
+    keys = fx.orders_as_ads(spark, sf_dir).groupBy("company_name", "state").agg(F.count(F.lit(1)).alias("n_ads"))
+    return assign_ids(keys, ["company_name", "state"], F.lit(1000).cast("long")).select(
+        "campaign_id", "company_name", "state", "n_ads")
+
+
+@register("dedup_wide", """
+SELECT l_orderkey, l_shipdate, l_linenumber, l_partkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def dedup_wide(spark, sf_dir):
+    """A7 with as many ids as there are orders."""
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_linenumber", "l_partkey")
+    return clean.dedup_latest(lines, "l_orderkey", ("l_shipdate",))
+
+
 # --- jobs, dedup, audits over F2 keyed by user (ids repeat) ----------------
 _F2_DUP = fx.events_as_ads_sql(dup=True)
 _F2 = fx.events_as_ads_sql()
