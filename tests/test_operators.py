@@ -53,11 +53,10 @@ def test_forward_fill_by_timestamp_blocks(spark):
     assert got == {t: (i - i % 3) for i, (t, _) in enumerate(rows)}
 
 
-def test_forward_fill_rejects_text_order(spark):
-    import pytest
-    df = spark.createDataFrame([("a", 1)], "k string, v int")
-    with pytest.raises(TypeError):
-        clean.forward_fill(df, "v", "k")
+def test_forward_fill_orders_by_text_too(spark):
+    df = spark.createDataFrame([("b", None), ("a", 1), ("c", 2), ("d", None)], "k string, v int")
+    got = {r.k: r.v for r in clean.forward_fill(df, "v", "k", n_blocks=3).collect()}
+    assert got == {"a": 1, "b": 1, "c": 2, "d": 2}
 
 
 def test_reference_fill_never_fills(spark):
