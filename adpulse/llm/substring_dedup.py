@@ -5,18 +5,25 @@
   windows have the same anchor at the same place, so a window that repeats
   must have an anchor that occurs at least twice.  Documents are joined on
   such anchors; everything else leaves here.
+  Counting comes first and is cheap: workers send the distinct keys of their
+  anchors in buckets, as packed 32-bit numbers, and a bucket's owner names those
+  seen twice.  Keys are cut to 32 bits beyond the bucket's own, whose number
+  follows the corpus, so a chance match is rare and only costs a comparison.
 * Extend: around each joined anchor the match reaches as far to the left and to
   the right as the windows that chose the anchor: each is compared as a whole
   (64-bit hash of its words) with the smallest document that has it.
 * Keep maximal repeats: overlapping windows that match run together into
   maximal repeats of at least ``window`` words, whose words are removed.
 
+Documents with the words of a smaller document are copies as a whole: they lose
+all words and need no windows, nor do the windows of others need theirs.
+
 Only windows that start in a document with a smaller ``doc_id`` count, judged
 on the input.  Anchors and windows are counted by aggregates that combine
 before the shuffle and then joined back, so a passage that a third of the
 documents share costs rows in proportion to its occurrences, never pairs, and
-a hot value can be split over tasks.  Texts are shuffled once; both uses share
-the exchange.
+a hot value can be split over tasks.  Texts are shuffled once; all uses ask for
+the same columns, so they share the exchange.
 
 Null texts have no words; a null ``doc_id`` is smaller than none and loses
 nothing.  Rows with one id do not count as earlier for each other.  Texts of
@@ -31,13 +38,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adpulse.llm.common import SPACE, parts_for, stored, text_or_empty
 from adpulse.llm.wordhash import Words, grams
 
 WINDOW = 13
 SEED_WORDS = 5
+#: Anchor keys that a worker packs at once, and that a bucket should hold; a guess of a text's anchors.
+_HELD_KEYS = 1_000_000
+_ANCHORS_PER_TEXT = 128
 
 
 def _chosen(h: np.ndarray, window: int, seed: int) -> np.ndarray:
@@ -52,7 +64,7 @@ def _chosen(h: np.ndarray, window: int, seed: int) -> np.ndarray:
 
 def _chunks(batch, size: int = 4 << 20):
     """Slices of a batch of at most ``size`` bytes of text (or one row)."""
-    lengths = [len(t) for t in batch.column("text").fill_null("").to_pylist()]
+    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
     at = 0
     while at < len(lengths):
         to, total = at + 1, lengths[at]
@@ -63,18 +75,69 @@ def _chunks(batch, size: int = 4 << 20):
         at = to
 
 
-def _anchors(window: int, seed: int):
+def _texts_anchors(batch, window: int, seed: int, bits: int):
+    """(row, anchor keys of ``bits`` bits, their places) of every text of a batch that has any."""
+    words = Words(batch.column("text").to_pylist())
+    for row, doc, a, b in zip(*(batch.column(c).to_pylist() for c in ("row_id", "doc_id")),
+                              words.first[:-1], words.first[1:], strict=True):
+        if doc is not None:
+            h = words.hash[a:b]
+            at = np.unique(_chosen(h, window, seed))
+            if len(at):
+                yield row, grams(h, seed)[at] >> np.uint64(64 - bits), at
+
+
+def _packed_keys(window: int, seed: int, bits: int):
+    """Distinct keys in buckets: those a worker saw once and those it saw more often."""
+    def packed(keys):
+        keys, n = np.unique(np.concatenate(keys), return_counts=True)
+        bucket, first = np.unique(keys >> np.uint64(32), return_index=True)
+        low = (keys & np.uint64(0xFFFFFFFF)).astype("<u4")
+        parts = list(zip(np.split(low, first[1:]), np.split(n, first[1:]), strict=True))
+        return pa.record_batch([pa.array(bucket.astype(np.int64)), pa.array([x[c == 1].tobytes() for x, c in parts]),
+                                pa.array([x[c > 1].tobytes() for x, c in parts])], names=["bucket", "once", "more"])
+
     def run(batches):
+        held, n = [], 0
         for whole in batches:
             for batch in _chunks(whole):
-                words = Words(batch.column("text").to_pylist())
-                ids = batch.column("row_id").to_pylist()
-                out = []
-                for row, a, b in zip(ids, words.first[:-1], words.first[1:], strict=True):
-                    h = words.hash[a:b]
-                    at = np.unique(_chosen(h, window, seed))
-                    if len(at):
-                        out.append((grams(h, seed)[at].view(np.int64), np.full(len(at), row), at.astype(np.int32)))
+                for _, keys, _ in _texts_anchors(batch, window, seed, bits):
+                    held.append(keys)
+                    n += len(keys)
+                if n >= _HELD_KEYS:
+                    yield packed(held)
+                    held, n = [], 0
+        if held:
+            yield packed(held)
+    return run
+
+
+def _repeated_keys(batches):
+    """Keys of a bucket that two workers' lists, or one worker's texts, have twice; buckets arrive one after the other."""
+    def repeated(bucket, once, more):
+        keys, n = np.unique(np.frombuffer(b"".join(once), "<u4"), return_counts=True)
+        keys = np.union1d(keys[n > 1], np.intersect1d(keys, more := np.frombuffer(b"".join(more), "<u4")))
+        keys = np.union1d(keys, more).astype(np.uint64) | np.uint64(bucket << 32)
+        return pa.record_batch([pa.array(keys.view(np.int64))], names=["anchor"])
+    current, once, more = None, [], []
+    for batch in batches:
+        for bucket, o, m in zip(*(batch.column(c).to_pylist() for c in ("bucket", "once", "more")), strict=True):
+            if bucket != current:
+                if current is not None:
+                    yield repeated(current, once, more)
+                current, once, more = bucket, [], []
+            once.append(o)
+            more.append(m)
+    if current is not None:
+        yield repeated(current, once, more)
+
+
+def _anchors(window: int, seed: int, bits: int):
+    def run(batches):
+        for whole in batches:
+            for batch in _chunks(whole):
+                out = [(keys.view(np.int64), np.full(len(at), row), at.astype(np.int32))
+                       for row, keys, at in _texts_anchors(batch, window, seed, bits)]
                 if out:
                     yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],
                                           names=["anchor", "row_id", "at"])
@@ -104,11 +167,13 @@ def _removed(window: int):
     def run(batches):
         for batch in batches:
             out = []
-            for doc, text, starts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "starts")),
-                                         strict=True):
+            for doc, text, copy, starts in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "copy", "starts")),
+                                               strict=True):
                 words = (text or "").encode("utf-8", "replace").split()
                 n, gone = len(words), 0
-                if starts:
+                if copy and n >= window:
+                    words, gone = [], n
+                elif starts:
                     edge = np.zeros(n + 1, np.int64)
                     at = np.array(starts)
                     np.add.at(edge, at, 1)
@@ -130,15 +195,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED_WORDS
         raise ValueError("seed must be between 1 and window")
     texts = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
-    anchors = (texts.filter("doc_id is not null").select("row_id", "text")
-               .mapInArrow(_anchors(window, seed), "anchor long, row_id long, at int"))
-    seeds = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    words = F.trim(F.regexp_replace(text_or_empty(), SPACE, " "))
+    same = stored(texts.select("row_id", "doc_id", F.sha2(words, 256).alias("words")), "words")
+    smallest = same.groupBy("words").agg(F.min("doc_id").alias("smallest"))
+    copies = stored(same.join(smallest, "words").filter("smallest < doc_id").select("row_id"), "copies")
+    # The stored table's size decides whether it is sent to the texts or these are dealt out.
+    first_copies = texts.join(copies, "row_id", "left_anti").select("row_id", "doc_id", "text")
+    bits = 32 + max(10, (parts_for(same.count() * _ANCHORS_PER_TEXT, _HELD_KEYS) - 1).bit_length())
+    seeds = (first_copies.mapInArrow(_packed_keys(window, seed, bits), "bucket long, once binary, more binary")
+             .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_repeated_keys, "anchor long"))
+    anchors = first_copies.mapInArrow(_anchors(window, seed, bits), "anchor long, row_id long, at int")
     hits = anchors.join(seeds, "anchor").groupBy("row_id").agg(F.collect_list("at").alias("hits"))
     passages = (texts.join(hits, "row_id").select("row_id", "doc_id", "text", "hits")
                 .mapInArrow(_windows(window, seed), "passage long, row_id long, doc_id long, start int"))
-    first = (passages.groupBy("passage").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-             .filter("first < last").select("passage", "first"))
+    first = passages.groupBy("passage").agg(F.min("doc_id").alias("first"))
     covered = (passages.join(first, "passage").filter("first < doc_id")
                .groupBy("row_id").agg(F.collect_list("start").alias("starts")))
-    return (texts.join(covered, "row_id", "left").select("doc_id", "text", "starts")
+    fate = covered.unionByName(copies.withColumn("starts", F.lit(None).cast("array<int>")))
+    return (texts.join(fate.withColumn("copy", F.col("starts").isNull()), "row_id", "left")
+            .select("doc_id", "text", "copy", "starts")
             .mapInArrow(_removed(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"))
