@@ -20,6 +20,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = stored(edges.groupBy(F.col("a").alias("node"))
                     .agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    if edges.isEmpty():
+        return labels.withColumnRenamed("label", "component")
     while True:
         near = (edges.join(labels.select(F.col("node").alias("b"), "label"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
