@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import unicodedata
 import zlib
 
 import pyarrow as pa
@@ -44,59 +45,80 @@ SPARE = 64
 #: Shorter pieces are cut into powers of two.
 SMALL = 64
 #: Words whose ids a worker remembers.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 
-_PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)").fullmatch
+_PLAIN = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)").fullmatch
+
+
+def _byte_letters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable
+    Latin-1 characters stand for themselves, the others for those from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in own)
+    return {b: 256 + n for n, b in enumerate(others)}
+
+
+class _Remembered(dict):
+    """Two generations of results: when the young one is full it becomes the old
+    one, and what is asked for again moves over, so common words stay."""
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, name):
+        value = self.old.get(name)
+        if value is None:
+            value = self.make(name)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[name] = value
+        return value
 
 
 class WordTokenizer:
     """Ids of a word-level BPE tokenizer as little-endian 32-bit bytes.
 
     The tokenizer splits at white space before anything else, so a text's ids
-    are those of its words one after the other; words repeat, so their ids are
-    remembered (up to a fixed number, then the memory starts anew)."""
+    are those of its words one after the other; words repeat, so the ids of the
+    latest ``CACHED_WORDS`` or more are remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.letters = _byte_letters()
+        self.words = _Remembered(self._word, CACHED_WORDS)
+        self.pieces = _Remembered(self._piece, CACHED_WORDS)
 
     @staticmethod
     def _bytes(ids) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return b"".join([i.to_bytes(4, "little") for i in ids])
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = self.pieces[piece] = self._bytes(t.id for t in self.tokenizer.model.tokenize(piece))
-        return found
+        return self._bytes([t.id for t in self.tokenizer.model.tokenize(piece)])
 
     def _word(self, word: str) -> bytes:
+        """Letters with ASCII marks after them are two pieces; all other words take the tokenizer's own steps."""
         if not word:
             return b""
         if plain := _PLAIN(word):
             letters, marks = plain.groups()
-            return self._piece(letters.lower()) + (self._piece(marks) if marks else b"")
+            low = letters.lower()
+            if low.isascii():
+                return self.pieces[low] + (self.pieces[marks] if marks else b"")
+            if low.isalpha() and "\u03a3" not in letters and unicodedata.is_normalized("NFC", letters):
+                low = low.encode().decode("latin-1").translate(self.letters)
+                return self.pieces[low] + (self.pieces[marks] if marks else b"")
         if "<|" in word:
             return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
         t = self.tokenizer
-        return b"".join(self._piece(p) for p, _ in
-                        t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word)))
+        return b"".join([self.pieces[p] for p, _ in
+                         t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word))])
 
     def ids(self, text: str) -> bytes:
-        known = self.words
-        if len(known) > CACHED_WORDS:
-            known.clear()
-            self.pieces.clear()
-        words = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            for w in set(words).difference(known):
-                known[w] = self._word(w)
-            return b"".join([known[w] for w in words])
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def slot_classes(capacity: int = CAPACITY) -> list[int]:
