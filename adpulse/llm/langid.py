@@ -140,9 +140,13 @@ def fit(training: DataFrame) -> LanguageModel:
     for dimension, n in by_dimension.collect():  # one row per dimension
         df[dimension + 1] = n
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
-    order = Window.partitionBy("lang").orderBy("order", "text")
-    sample = (rows.withColumn("order", F.xxhash64("text")).withColumn("place", F.row_number().over(order))
-              .filter(F.col("place") <= SAMPLE).drop("place"))
+    # The sample is found by hashes alone; only its texts are moved, and copies of one text once.
+    keyed = rows.withColumn("order", F.xxhash64("text"))
+    by_hash = Window.partitionBy("lang").orderBy("order")
+    cut = stored(keyed.select("lang", "order").distinct().withColumn("place", F.row_number().over(by_hash))
+                 .filter(F.col("place") <= SAMPLE).groupBy("lang").agg(F.max("order").alias("cut")), "cut")
+    sample = (keyed.join(cut, "lang").filter(F.col("order") <= F.col("cut"))
+              .groupBy("lang", "order").agg(F.first("text").alias("text")))
     found = sample.groupBy("lang").applyInPandas(_clustered(idf), "lang string, centroid array<float>, lowest double")
     learned = stored(found, "centroids").orderBy("lang", "lowest").collect()  # CENTROIDS rows per language
     return LanguageModel(idf, [r["lang"] for r in learned],
