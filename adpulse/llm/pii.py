@@ -49,25 +49,25 @@ def _n_digits(value: Column, low: int, high: int) -> Column:
     return F.length(_digits(value)).between(low, high)
 
 
-#: Kind: pattern, what a text with a match must contain, and the test of a match.
+#: Kind: pattern, what every text with a match also matches (a quick look), and the test of a match.
 #: ``\G`` is the end of the match before, from which the next one may start at once.
 KINDS = {
-    "email": (rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", lambda v: F.lit(True)),
-    "ip": (r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "[0-9]\\.[0-9]",
+    "email": (rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", r"@[A-Za-z0-9-]++\.",
+              lambda v: F.lit(True)),
+    "ip": (r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]",
            lambda v: v.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$")),
-    "card": (r"[0-9](?:[\x20-]?[0-9])++", "[0-9][\\x20-]?[0-9]",
-             lambda v: F.when(_n_digits(v, 14, 19), _luhn(v)).otherwise(False)),
-    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "\\+[0-9]", lambda v: _n_digits(v, 10, 15)),
+    "card": (r"[0-9](?:[\x20-]?[0-9])++", r"[0-9](?:[\x20-]?[0-9]){13}",
+             lambda v: F.when(_n_digits(v, 14, 19), F.call_function("luhn_check", _digits(v))).otherwise(False)),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", lambda v: _n_digits(v, 10, 15)),
 }
 
-
-def _luhn(value: Column) -> Column:
-    return F.call_function("luhn_check", _digits(value))
+_MATCH = ("array<struct<number:int,kind:string,i:int,value:string,gap:int,before:string,after:string,valid:boolean>>")
 
 
 def _matches(text: Column, number: int, kind: str) -> Column:
-    """Array of a kind's matches with the lengths of the gaps before them and some text on both sides."""
-    pattern, needle, valid = KINDS[kind]
+    """Array of a kind's matches with the lengths of the gaps before them and
+    some text on both sides; null for texts that a quick look rules out."""
+    pattern, look, valid = KINDS[kind]
     gaps = F.split(text, pattern, -1)
     found = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"), gaps.alias("gap"),
                          F.slice(gaps, 2, F.size(gaps)).alias("after"))
@@ -75,9 +75,7 @@ def _matches(text: Column, number: int, kind: str) -> Column:
         F.lit(number).alias("number"), F.lit(kind).alias("kind"), i.alias("i"), m["value"].alias("value"),
         F.length(m["gap"]).alias("gap"), F.right(m["gap"], F.lit(CONTEXT)).alias("before"),
         F.left(m["after"], F.lit(CONTEXT)).alias("after"), valid(m["value"]).alias("valid")))
-    none = F.filter(found, lambda m: F.lit(False))
-    found = F.when(F.exists(found, lambda m: m["valid"]), found).otherwise(none)
-    return F.when(text.contains(needle) if len(needle) == 1 else text.rlike(needle), found).otherwise(none)
+    return F.when(text.rlike(look), found).cast(_MATCH)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -85,8 +83,10 @@ def base_spans(docs: DataFrame) -> DataFrame:
     text = F.col("text")
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), text_or_empty().alias("text"))
     found = rows.select("row_id", F.xxhash64("text").alias("text_hash"),
-                        F.explode(F.concat(*(_matches(text, n, k) for n, k in enumerate(KINDS)))).alias("m"))
-    found = found.select("row_id", "text_hash", "m.*")
+                        *(_matches(text, n, k).alias(k) for n, k in enumerate(KINDS)))
+    nothing = F.array().cast(_MATCH)
+    kept = [F.when(F.exists(k, lambda m: m["valid"]), F.col(k)).otherwise(nothing) for k in KINDS]
+    found = found.select("row_id", "text_hash", F.explode(F.concat(*kept)).alias("m")).select("row_id", "text_hash", "m.*")
     upto = Window.partitionBy("row_id", "number").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(upto).cast("long")
     return (found.withColumn("end", end).filter("valid")
@@ -94,26 +94,35 @@ def base_spans(docs: DataFrame) -> DataFrame:
             .select("row_id", "text_hash", "number", "kind", "start", "end", "value", "before", "after"))
 
 
+_TERM = r"^[\p{P}\p{S}]*+(\p{L}{2,}+)[\p{P}\p{S}]*+$"
+
+
 def _term(word: Column) -> Column:
-    """A word's letters without punctuation around them; null if it is anything else."""
-    bare = F.regexp_replace(F.lower(word), r"^[\p{P}\p{S}]++|[\p{P}\p{S}]++$", "")
-    return F.when(bare.rlike(r"^\p{L}{2,}$"), bare)
+    """A lower-case word's letters without punctuation around them; empty if it is anything else."""
+    return F.regexp_extract(word, _TERM, 1)
 
 
-def _terms(words: Column) -> Column:
-    return F.array_distinct(F.array_compact(F.transform(words, _term)))
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text (with the empty one if other words are there)."""
+    return F.array_distinct(F.transform(F.split(F.lower(text), SPACE), _term))
 
 
-def disclosing_terms(docs: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``term, action`` of the terms to generalise or remove, and ``row_id,
-    term`` of the rows that have one of the terms looked at."""
+def _term_rows(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """``row_id`` and the columns of ``terms`` for every row that has one of them.
+    The stored table's size decides whether it is sent to the rows or both are dealt out by term."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), text_or_empty().alias("text"))
+    return rows.select("row_id", F.explode(_terms(F.col("text"))).alias("term")).join(terms, "term")
+
+
+def disclosing_terms(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``term, action`` of the terms to generalise or remove."""
     entity = spans.select("row_id", "text_hash", F.concat_ws(":", "kind", F.lower("value")).alias("entity"),
                           "before", "after")
     # A word that the context's border cuts is left out.
     before = F.when(F.length("before") == CONTEXT, F.regexp_replace("before", "^" + WORD, "")).otherwise(F.col("before"))
     after = F.when(F.length("after") == CONTEXT, F.regexp_replace("after", WORD + "$", "")).otherwise(F.col("after"))
-    near = entity.select("entity", "row_id", "text_hash", F.explode(_terms(F.split(
-        F.concat(before, F.lit(" "), after), SPACE))).alias("term"))
+    near = entity.select("entity", "row_id", "text_hash",
+                         F.explode(_terms(F.concat(before, F.lit(" "), after))).alias("term")).filter("term <> ''")
     together = (near.groupBy("entity", "term", "row_id").agg(F.first("text_hash").alias("text_hash"))
                 .groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
                 .groupBy("entity", "term").agg(F.sum("rows").alias("n_et"), F.count(F.lit(1)).alias("texts"))
@@ -121,25 +130,20 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame) -> tuple[DataFrame, Data
     per_entity = entity.select("entity", "row_id").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     pairs = stored(together.join(per_entity, "entity"), "pairs")
     looked_at = stored(pairs.select("term").distinct(), "terms")
-    # The stored table's size decides whether it is sent to the rows or both are dealt out by term.
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), text_or_empty().alias("text"))
-    everywhere = rows.select("row_id", F.explode(_terms(F.split("text", SPACE))).alias("term"))
-    where = stored(everywhere.join(looked_at, "term", "left_semi"), "where")
-    per_term = where.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    per_term = _term_rows(docs, looked_at).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n = docs.agg(F.count(F.lit(1)).alias("n"))
     content = F.log(F.col("n") / F.col("n_e"))
     shared = F.log(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     disclosed = (pairs.join(per_term, "term").crossJoin(F.broadcast(n))  # one row
                  .filter(content > 0).groupBy("term").agg(F.max(shared / content).alias("share")))
-    actions = (disclosed.filter(F.col("share") >= GENERALISE)
-               .select("term", F.when(F.col("share") >= REMOVE, "removed").otherwise("generalised").alias("action")))
-    return actions, where
+    return (disclosed.filter(F.col("share") >= GENERALISE)
+            .select("term", F.when(F.col("share") >= REMOVE, "removed").otherwise("generalised").alias("action")))
 
 
 def term_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``row_id, number, kind, start, end`` of every occurrence of a disclosing term."""
-    actions, where = disclosing_terms(docs, spans)
-    wanted = stored(where.join(actions, "term").groupBy("row_id").agg(
+    actions = stored(disclosing_terms(docs, spans), "actions")
+    wanted = stored(_term_rows(docs, actions).groupBy("row_id").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions")), "wanted")
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), text_or_empty().alias("text"))
     words = (rows.join(wanted, "row_id")
@@ -147,7 +151,7 @@ def term_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
                  "text", F.lit(f"{SPACE}|{WORD}"), F.lit(0))).alias("i", "word")))
     upto = Window.partitionBy("row_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     words = words.withColumn("upto", F.sum(F.length("word")).over(upto).cast("long"))
-    term = _term(F.col("word"))
+    term = _term(F.lower("word"))
     # Punctuation before the letters is not part of the span.
     lead = F.length(F.regexp_extract("word", r"^[\p{P}\p{S}]*+", 0))
     return (words.withColumn("kind", F.try_element_at("actions", term)).filter("kind is not null")

@@ -508,7 +508,7 @@ def secret(spark, tmp_path_factory):
 
 
 def test_terms_that_disclose_an_entity(secret):
-    actions, _ = disclosing_terms(secret, base_spans(secret))
+    actions = disclosing_terms(secret, base_spans(secret))
     found = {r.term: r.action for r in actions.collect()}
     assert found.get("zanzibar") in ("generalised", "removed")
     # Common words say little, and copies of one text are one piece of evidence.
