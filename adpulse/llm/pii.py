@@ -62,28 +62,47 @@ KINDS = {
 }
 
 _MATCH = ("array<struct<number:int,kind:string,i:int,value:string,gap:int,before:string,after:string,valid:boolean>>")
+_PIECES = "array<struct<value:string,gap:string>>"
+#: A match has at least two characters, so no context reaches over more of them.
+_REACH = CONTEXT // 2
 
 
-def _matches(text: Column, number: int, kind: str) -> Column:
-    """Array of a kind's matches with the lengths of the gaps before them and
-    some text on both sides; null for texts that a quick look rules out."""
-    pattern, look, valid = KINDS[kind]
-    gaps = F.split(text, pattern, -1)
-    found = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"), gaps.alias("gap"),
-                         F.slice(gaps, 2, F.size(gaps)).alias("after"))
-    found = F.transform(F.filter(found, lambda m: m["value"].isNotNull()), lambda m, i: F.struct(
-        F.lit(number).alias("number"), F.lit(kind).alias("kind"), i.alias("i"), m["value"].alias("value"),
-        F.length(m["gap"]).alias("gap"), F.right(m["gap"], F.lit(CONTEXT)).alias("before"),
-        F.left(m["after"], F.lit(CONTEXT)).alias("after"), valid(m["value"]).alias("valid")))
-    return F.when(text.rlike(look), found).cast(_MATCH)
+def _pieces(text: Column, kind: str) -> Column:
+    """A kind's matches, each with the text since the match before, and after the last
+    one the rest with a null match; null for texts that a quick look rules out."""
+    pattern, look, _ = KINDS[kind]
+    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value"),
+                          F.split(text, pattern, -1).alias("gap"))
+    return F.when(text.rlike(look), pieces).cast(_PIECES)
+
+
+def _matches(pieces: Column, number: int, kind: str) -> Column:
+    """The matches in ``pieces`` with the lengths of the gaps before them and, if
+    valid, the ``CONTEXT`` characters of text on both sides, other matches included."""
+    valid = KINDS[kind][2]
+
+    def joined(first: Column, n: Column, end) -> Column:
+        """Some pieces as text, gap before match; ``end`` cuts them to what a context can hold."""
+        return F.array_join(F.transform(F.slice(pieces, first, n), lambda p: F.concat(
+            end(p["gap"], F.lit(CONTEXT)), F.coalesce(end(p["value"], F.lit(CONTEXT)), F.lit("")))), "")
+
+    def match(m: Column, i: Column) -> Column:
+        first = F.greatest(i - _REACH, F.lit(0))
+        before = F.right(F.concat(joined(first + 1, i - first, F.right), F.right(m["gap"], F.lit(CONTEXT))), F.lit(CONTEXT))
+        after = F.left(joined(i + 2, F.lit(_REACH + 1), F.left), F.lit(CONTEXT))
+        good = valid(m["value"])
+        return F.struct(F.lit(number).alias("number"), F.lit(kind).alias("kind"), i.alias("i"), m["value"].alias("value"),
+                        F.length(m["gap"]).alias("gap"), F.when(good, before).alias("before"),
+                        F.when(good, after).alias("after"), good.alias("valid"))
+    return F.transform(F.filter(pieces, lambda p: p["value"].isNotNull()), match).cast(_MATCH)
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
     """``row_id, text_hash, number, kind, start, end, value, before, after`` of every valid match."""
     text = F.col("text")
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), text_or_empty().alias("text"))
-    found = rows.select("row_id", F.xxhash64("text").alias("text_hash"),
-                        *(_matches(text, n, k).alias(k) for n, k in enumerate(KINDS)))
+    pieces = rows.select("row_id", F.xxhash64("text").alias("text_hash"), *(_pieces(text, k).alias(k) for k in KINDS))
+    found = pieces.select("row_id", "text_hash", *(_matches(F.col(k), n, k).alias(k) for n, k in enumerate(KINDS)))
     nothing = F.array().cast(_MATCH)
     kept = [F.when(F.exists(k, lambda m: m["valid"]), F.col(k)).otherwise(nothing) for k in KINDS]
     found = found.select("row_id", "text_hash", F.explode(F.concat(*kept)).alias("m")).select("row_id", "text_hash", "m.*")

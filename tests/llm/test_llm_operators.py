@@ -524,6 +524,29 @@ def test_terms_that_disclose_an_entity(secret):
     assert clean[200] == "copy with rarest [email] word"
 
 
+def test_contexts_reach_over_other_matches(spark, docs, tmp_path):
+    dense = "4111 1111 1111 1111  " + "12  " * 60 + "4111 1111 1111 1111" + "  34" * 60
+    extra = [(300, "Contact John Smith in room 12 about card 4111 1111 1111 1111, 7 days 33"),
+             (301, "Ann Lee <a@x.org>, Bob Ray <b@x.org> and c@x.org"), (302, dense)]
+    path = str(tmp_path / "d.parquet")
+    docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string")).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("row_id", F.monotonically_increasing_id())
+    got = base_spans(rows).join(rows.select("row_id", "text"), "row_id").collect()
+    assert len(got) > 12
+    for r in got:
+        assert (r.before, r.after) == (r.text[max(0, r.start - 80):r.start], r.text[r.end:r.end + 80])
+
+
+def test_terms_beside_a_number_or_a_second_address(spark, tmp_path):
+    rows = [(i, f"{words(3, 700 + i)} Contact Zanzibar in room {i} about card 4111 1111 1111 1111 {words(3, i)}") for i in range(4)]
+    rows += [(10 + i, f"{words(2, 720 + i)} Quagga <a{i}@x.org>, Ray <b@x.org> {words(3, 40 + i)}") for i in range(4)]
+    rows += [(100 + i, words(8, 500 + i)) for i in range(60)]
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    rows = spark.read.parquet(path)
+    assert {"zanzibar", "quagga"} <= {r.term for r in disclosing_terms(rows, base_spans(rows)).collect()}
+
+
 # ------------------------------------------------------------ empty tables
 
 @pytest.mark.parametrize("operator", [
