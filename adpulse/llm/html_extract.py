@@ -8,10 +8,12 @@ is the content region; the text of the region, without the boilerplate
 containers inside it, is the result.
 
 The scores come from labelled pages: each token kind gets the logarithm of how
-much more often it occurs inside than outside the content, words kept positive
-or negative as they come out, tags held at zero or below.  ``labelled_pages``
-writes the labelled pages by rule (menus, adverts, notices, forms, articles,
-comments, footers in varying order); ``fit_scores`` also accepts others.
+much more often it occurs inside than outside the content, words held at zero
+or above, tags at zero or below.  Words in boilerplate containers never reach
+the result and score 0, so a box inside the content costs its tags only.
+``labelled_pages`` writes the labelled pages by rule (menus, adverts, notices,
+forms, articles with boxes inside, stray lines, comments, footers in varying
+order); ``fit_scores`` also accepts others.
 
 Scripts, styles, titles and other unseen elements, comments and markup never
 count.  Character references are decoded, white space inside a block becomes
@@ -174,6 +176,11 @@ def labelled_pages(n: int = 200, seed: int = 5) -> Iterator[list[tuple[str, bool
         kind = rng.choice(("ad", "cookie-notice", "newsletter", "promo", "share"))
         return f'<div class="{kind}">{words(4, 25)}</div>'
 
+    def stray():
+        # Running text outside the content, under names that say nothing.
+        return rng.choice(('<div class="strip">{}</div>', '<div class="tagline"><p>{}</p></div>', "<p>{}</p>",
+                           '<section class="latest"><h3>{}</h3></section>')).format(words(2, 12))
+
     def form():
         return f'<form><label>{words(1, 3)}</label><input name="q"><button>{words(1, 2)}</button></form>'
 
@@ -187,18 +194,19 @@ def labelled_pages(n: int = 200, seed: int = 5) -> Iterator[list[tuple[str, bool
             out.append(rng.choices((f"<p>{words(10, 120)}</p>", f"<h2>{words(2, 7)}</h2>",
                                     f"<ul><li>{words(4, 20)}</li><li>{words(4, 20)}</li></ul>",
                                     f"<blockquote>{words(8, 40)}</blockquote>",
-                                    f'<p>{words(8, 30)} <a href="#">{words(1, 3)}</a> {words(4, 20)}</p>'),
-                                   (8, 2, 1, 1, 2))[0])
+                                    f'<p>{words(8, 30)} <a href="#">{words(1, 3)}</a> {words(4, 20)}</p>',
+                                    box(), side()),
+                                   (8, 2, 1, 1, 2, 1.5, 0.3))[0])
         return "".join(out)
     for _ in range(n):
         around = rng.choice((("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>")))
-        before = [menu(), *rng.sample((box(), side(), form(), f"<header><p>{words(2, 8)}</p></header>"), rng.randint(0, 3))]
-        after = [*rng.sample((box(), side(), comments(), form()), rng.randint(0, 3)), f"<footer>{words(3, 15)}</footer>"]
+        before = [menu(), *rng.sample((box(), side(), form(), stray(), f"<header><p>{words(2, 8)}</p></header>"), rng.randint(0, 3))]
+        after = [*rng.sample((box(), side(), comments(), form(), stray()), rng.randint(0, 3)), f"<footer>{words(3, 15)}</footer>"]
         yield [("<body>" + "".join(before) + around[0], False), (article(), True), (around[1] + "".join(after) + "</body>", False)]
 
 
 def fit_scores(pages: Iterable[list[tuple[str, bool]]]) -> dict[str, float]:
-    """Score of each token kind: its log odds of standing in the content."""
+    """Score of each token kind: its log odds of standing in the content, of the sign that its kind may have."""
     inside, outside = Counter(), Counter()
     for page in pages:
         places = _Places()
@@ -211,7 +219,8 @@ def fit_scores(pages: Iterable[list[tuple[str, bool]]]) -> dict[str, float]:
                     count[f"tag:{name}"] += 1
                     places.see(kind, name, value)
     odds = {k: math.log((inside[k] + 0.5) / (outside[k] + 0.5)) for k in inside | outside}
-    return {k: min(v, 0.0) if k.startswith("tag:") else v for k, v in odds.items()}
+    held = {k: min(v, 0.0) if k.startswith("tag:") else max(v, 0.0) for k, v in odds.items()}
+    return held | {"word:boilerplate": 0.0}
 
 
 @functools.cache

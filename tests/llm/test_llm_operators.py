@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from adpulse.llm import ann, langid, near_dedup, packing
+from adpulse.llm import ann, html_extract, langid, near_dedup, packing
 from adpulse.llm.exact_dedup import CuckooFilter, DigestIndex, exact_dedup, keep_first_copies
 from adpulse.llm.html_extract import extract, main_text
 from adpulse.llm.mixing import mix, source_targets, systematic_copies
@@ -445,6 +445,23 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><h1>One title of five words</h1><div class=share>like this and tell all your friends now</div>"
+     "<p>The text of it is here to be read.</p></article>", "One title of five words The text of it is here to be read."),
+    ("<article><h1>A title</h1><p>Short first paragraph.</p><div class=advert><p>" + "buy now " * 30 + "</p></div><p>"
+     + "And more of it. " * 5 + "</p><div class=advert>" + "buy now " * 30 + "</div><p>The short ending.</p></article>",
+     "A title Short first paragraph. " + "And more of it. " * 5 + "The short ending."),
+])
+def test_boxes_inside_an_article_do_not_cut_it(page, text):
+    assert main_text(page) == text
+
+
+def test_only_tags_score_negative():
+    scores = html_extract.default_scores()
+    assert all(v >= 0 for k, v in scores.items() if k.startswith("word:")) and scores["word:boilerplate"] == 0
+    assert 0 < scores["word:running"] < 8 and scores["tag:nav"] < 0
+
+
 def test_extraction_of_given_pages(spark):
     rows = spark.createDataFrame([(1, None, None, "x"), (1, "u", f"<article>{ARTICLE}</article>", "y"), (None, "u", "", "z")],
                                  "page_id long, url string, html string, text string")
