@@ -3,6 +3,9 @@
 A page is a sequence of words and tags.  Words score positive and tags
 negative; a word's score depends on where it stands (running text, link text,
 or a container that is named or marked as boilerplate), a tag's on its name.
+A container is marked by a whole class, id or role or by the part that says
+what it names ("main-menu", "ad-box", not "has-sidebar" or "search-results"),
+and never if it encloses the page's main, article or h1.
 One linear scan finds the contiguous run of tokens with the largest sum, which
 is the content region; the text of the region, without the boilerplate
 containers inside it, is the result.
@@ -58,9 +61,17 @@ MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adbo
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_UNSHOWN = re.compile(r"display\s*:\s*none", re.I)
+#: First parts of names that say how a page is laid out or what it has or lacks, not what an element is.
+LAYOUT = {"has", "with", "without", "no", "not", "layout", "is", "hide", "show"}
+#: Last parts of names that leave the part before them to say what an element is.
+GENERIC = {"area", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "center", "col", "column",
+           "container", "content", "entries", "form", "group", "head", "heading", "holder", "icon", "icons", "image",
+           "inner", "item", "items", "label", "left", "link", "links", "list", "main", "message", "outer", "overlay",
+           "panel", "placeholder", "posts", "primary", "region", "right", "row", "secondary", "section", "signup", "slot",
+           "stories", "text", "title", "top", "unit", "wrap", "wrapper"}
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -113,41 +124,62 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     yield from flush()
 
 
+def _attributes(attributes: str) -> dict[str, str]:
+    """Attributes by lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _names_boilerplate(name: str) -> bool:
+    """True if the whole name, or the part that says what it names, is a kind of boilerplate."""
+    parts = [p.lower() for p in _PARTS.findall(name)]
+    if not parts or parts[0] in LAYOUT:
+        return False
+    if "".join(parts) in MARKS:
+        return True
+    while len(parts) > 1 and parts[-1] in GENERIC:
+        parts.pop()
+    return parts[-1] in MARKS
+
+
+@functools.lru_cache(4096)
 def marked(attributes: str) -> bool:
     """True if class, id or role name a kind of boilerplate, or the element is hidden."""
     if not attributes or attributes.isspace():
         return False
-    if _HIDDEN.search(attributes):
+    own = _attributes(attributes)
+    if "hidden" in own or own.get("aria-hidden", "").lower() == "true" or _UNSHOWN.search(own.get("style", "")):
         return True
-    for m in _NAMES.finditer(attributes):
-        for value in (m[1] or m[2] or m[3] or "").split():
-            if any(p.lower() in MARKS for p in _PARTS.findall(value)):
-                return True
-    return False
+    return any(_names_boilerplate(name) for key in ("class", "id", "role") for name in own.get(key, "").split())
 
 
 class _Places:
-    """Where the scan stands: open containers, of which some are boilerplate, and links."""
+    """Where the scan stands: open containers, of which some are boilerplate, and links.
+    A container is told by the number of the tag that opens it; those in ``spared`` are no boilerplate."""
 
-    def __init__(self):
-        self.open: list[tuple[str, bool]] = []
-        self.boilerplate = self.links = 0
+    def __init__(self, spared: frozenset[int] | set[int] = frozenset()):
+        self.open: list[tuple[str, bool, int]] = []
+        self.boilerplate = self.links = self.tags = 0
+        self.spared = spared
 
     def see(self, kind: str, name: str, attributes: str) -> None:
+        self.tags += 1
         if name == "a":
-            self.links = 1 if kind == "open" else 0
+            self.links = 1 if kind == "open" and "href" in _attributes(attributes) else 0
         elif kind == "open" and name not in EMPTY and (name not in INLINE or name == "span" and marked(attributes)):
             if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and self.open and self.open[-1][0] == name:
                 self._pop()
-            bad = name in BOILERPLATE or marked(attributes) and name not in ("body", "html")
-            self.open.append((name, bad))
+            bad = (name in BOILERPLATE or marked(attributes) and name not in ("body", "html")) and self.tags not in self.spared
+            self.open.append((name, bad, self.tags))
             self.boilerplate += bad
-        elif kind == "close" and any(name == x for x, _ in self.open):
+        elif kind == "close" and any(name == x for x, _, _ in self.open):
             while self._pop() != name:
                 pass
 
     def _pop(self) -> str:
-        name, bad = self.open.pop()
+        name, bad, _ = self.open.pop()
         self.boilerplate -= bad
         return name
 
@@ -155,6 +187,22 @@ class _Places:
         return "boilerplate" if self.boilerplate else "link" if self.links else "running"
 
 
+def _spared(page: Iterable[tuple[str, str, str]]) -> set[int]:
+    """Containers that are no boilerplate whatever they are called: those that enclose the page's first main,
+    first article of another name or first h1, if their class, id or role marks them, and forms around these."""
+    places, left, spared = _Places(), {"main", "article", "h1"}, set()
+    for kind, name, value in page:
+        if kind == "text":
+            continue
+        if kind == "open" and name in left and not marked(value):
+            left.remove(name)
+            spared |= {number for x, bad, number in places.open if bad and (x not in BOILERPLATE or x == "form")}
+        places.see(kind, name, value)
+        if not left:
+            break
+    return spared
+
+
 def labelled_pages(n: int = 200, seed: int = 5) -> Iterator[list[tuple[str, bool]]]:
     """Pages as lists of (fragment, is content), written by rule."""
     rng = random.Random(seed)
@@ -209,15 +257,15 @@ def fit_scores(pages: Iterable[list[tuple[str, bool]]]) -> dict[str, float]:
     """Score of each token kind: its log odds of standing in the content, of the sign that its kind may have."""
     inside, outside = Counter(), Counter()
     for page in pages:
-        places = _Places()
-        for fragment, content in page:
+        found = [(token, content) for fragment, content in page for token in tokens(fragment)]
+        places = _Places(_spared(token for token, _ in found))
+        for (kind, name, value), content in found:
             count = inside if content else outside
-            for kind, name, value in tokens(fragment):
-                if kind == "text":
-                    count["word:" + places.word()] += len(value.split())
-                else:
-                    count[f"tag:{name}"] += 1
-                    places.see(kind, name, value)
+            if kind == "text":
+                count["word:" + places.word()] += len(value.split())
+            else:
+                count[f"tag:{name}"] += 1
+                places.see(kind, name, value)
     odds = {k: math.log((inside[k] + 0.5) / (outside[k] + 0.5)) for k in inside | outside}
     held = {k: min(v, 0.0) if k.startswith("tag:") else max(v, 0.0) for k, v in odds.items()}
     return held | {"word:boilerplate": 0.0}
@@ -235,12 +283,13 @@ _OTHER_TAG = -0.1
 def main_text(page: str | None, scores: dict[str, float] | None = None) -> str:
     """The text of the best contiguous content region of a page."""
     scores = default_scores() if scores is None else scores
-    places, pieces = _Places(), []
+    page_tokens = list(tokens(page or ""))
+    places, pieces = _Places(_spared(page_tokens)), []
     # A maximum-scoring run by one scan: its sum so far, where it began, and the best one seen.
     run = best = 0.0
     begin = 0
     found = (0, 0)
-    for kind, name, value in tokens(page or ""):
+    for kind, name, value in page_tokens:
         if kind == "text":
             at = places.word()
             step = scores.get("word:" + at, 0.0) * len(value.split())

@@ -456,6 +456,32 @@ def test_boxes_inside_an_article_do_not_cut_it(page, text):
     assert main_text(page) == text
 
 
+BODY = "<h2>A title</h2><p>Words of the text that are to be read.</p>"
+READ = "A title Words of the text that are to be read."
+
+
+@pytest.mark.parametrize("page", [
+    *(f"<body><div class='{name}'>{BODY}</div></body>" for name in (
+        "has-sidebar", "with-sidebar", "no-sidebar", "layout-sidebar-right", "no-comments", "search-results", "page hasSidebar")),
+    f"<div class='overflow hidden x'>{BODY}</div>", f"<div title='a hidden b' data-class=ad>{BODY}</div>",
+    *(f"<div class='sidebar'><{x}>{BODY}</{x}></div>" for x in ("article", "main")),
+    f"<div id=search><h1>A title</h1>{BODY[BODY.index('<p>'):]}</div>", f"<form id=all><article>{BODY}</article></form>",
+    f"<a name=top>{BODY}",
+])
+def test_wrappers_and_anchors_keep_the_text(page):
+    assert main_text(page) == READ
+
+
+@pytest.mark.parametrize("box", [
+    "<div hidden>x y z</div>", "<div style='Display : none'>x y z</div>", "<div aria-hidden=true>x y z</div>",
+    *(f"<div class='{name}'>x y z</div>" for name in (
+        "ad", "ad-box", "main-menu", "cookieNotice", "related-posts", "share-buttons", "nav-bar", "footer-links", "comments-area")),
+    "<div class=comments><article class=comment-body>x y z</article></div>",
+])
+def test_marked_boxes_are_left_out(box):
+    assert main_text(f"<main><article>{BODY}{box}<p>The end of it all comes here.</p></article></main>") == READ + " The end of it all comes here."
+
+
 def test_only_tags_score_negative():
     scores = html_extract.default_scores()
     assert all(v >= 0 for k, v in scores.items() if k.startswith("word:")) and scores["word:boilerplate"] == 0
