@@ -169,6 +169,32 @@ def test_near_duplicates_of_large_linked_groups(spark):
         assert got == {(i, c) for i, _, c in brute_components(texts, n)}
 
 
+def test_blocks_of_many_short_sets_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    def side(first, n):  # three members in common for every fifty sets, one of their own
+        return [{"rep": i, "component": i, "members": [-1 - 3 * (i // 50 % 300), -2 - 3 * (i // 50 % 300), -3 - 3 * (i // 50 % 300), i % 15_000]}
+                for i in range(first, first + n)]
+    kind = pa.list_(pa.struct([("rep", pa.int64()), ("component", pa.int64()), ("members", pa.list_(pa.int64()))]))
+    block = pa.record_batch([pa.array([side(0, 4000)], kind), pa.array([side(15_000, 15_000)], kind)], names=["few", "every"])
+    tracemalloc.start()
+    got = [p for b in near_dedup._compare_blocks(80)([block]) for p in zip(b["a"].to_pylist(), b["b"].to_pylist(), strict=True)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(got) == [(i, 15_000 + i) for i in range(4000)]
+    assert peak < 150e6  # a table of all pairs has 240 MB
+
+
+def test_short_texts_of_one_template(spark):
+    rows = [(i, f"send mail to user{i // 2 if i < 100 else i}" + (" " * (i % 2))) for i in range(3000)]
+    rows += [(5000, " ".join(f"v{j}" for j in range(12))), (5001, " ".join(f"v{j}" for j in range(13)))]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()}
+    assert got == {i: i - i % 2 if i < 100 else 5000 if i >= 5000 else i for i, _ in rows}
+
+
 def test_one_document_of_each_group_stays(docs):
     unique = [(i, t) for n, (i, t) in enumerate(texts_of(docs)) if i is not None]
     kept = near_dedup.keep_one_of_each(docs)
