@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from adpulse.llm.ann import nearest
 from adpulse.llm.common import table
 from adpulse.llm.exact_dedup import exact_dedup
+from adpulse.llm.hard_negatives import hard_negatives, shifted_sevenths
 from adpulse.llm.html_extract import extract
 from adpulse.llm.langid import identify
+from adpulse.llm.merkle import lowered_thirds, manifest
 from adpulse.llm.mixing import systematic_copies
 from adpulse.llm.near_dedup import near_duplicates
 from adpulse.llm.packing import pack
 from adpulse.llm.pii import personal_data
 from adpulse.llm.sharding import assign_shards
 from adpulse.llm.substring_dedup import remove_repeats
+from adpulse.llm.token_files import write
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -168,3 +171,96 @@ def op9(spark, sf_dir):
 @_query("op10_html_extraction")
 def op10(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
+
+
+@_query("op11_merkle_manifest", """
+WITH RECURSIVE bits AS (  -- CRC-32 of one byte, by its rule
+  SELECT b, 0 AS step, CAST(b AS BIGINT) AS c FROM range(256) t(b)
+  UNION ALL SELECT b, step + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE step < 8),
+crcs AS (SELECT list(c ORDER BY b) AS crc FROM bits WHERE step = 8),
+d AS (
+  SELECT doc_id, lang, text, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ord(x) AS BIGINT) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+      lambda c, x: xor(c >> 8, crc[xor(c & 255, x) + 1])), 4294967295) % 3 = 0 AS hit
+  FROM documents, crcs),
+leaves AS (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf, changed
+  FROM (
+    SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+      CASE WHEN hit THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '-')) END AS changed
+    FROM d)),
+t(lang, level, i, n, node) AS (  -- the trees of the languages
+  SELECT lang, 0, i, count(*) OVER (PARTITION BY lang), leaf FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY i)) FROM t WHERE n > 1
+  GROUP BY lang, level, i // 8, n),
+subroots AS (SELECT lang, level AS height, node, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM t WHERE n = 1),
+u(level, i, n, node) AS (  -- the tree of the subroots
+  SELECT 0, i, count(*) OVER (), node FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY i)) FROM u WHERE n > 1
+  GROUP BY level, i // 8, n),
+ts AS (
+  SELECT a.lang, a.level, a.i, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+    coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM t a JOIN t b ON a.lang IS NOT DISTINCT FROM b.lang AND a.level = b.level AND a.i // 8 = b.i // 8
+  WHERE a.n > 1 GROUP BY a.lang, a.level, a.i),
+us AS (
+  SELECT a.level, a.i, coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before,
+    coalesce(string_agg(b.node, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM u a JOIN u b ON a.level = b.level AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.level, a.i),
+path AS (  -- every leaf's siblings, level by level
+  SELECT l.lang, l.i, ts.level, before, after FROM leaves l JOIN ts ON l.lang IS NOT DISTINCT FROM ts.lang
+    AND ts.i = l.i >> CAST(3 * ts.level AS INTEGER)
+  UNION ALL
+  SELECT l.lang, l.i, s.height + us.level, before, after FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+    JOIN us ON us.i = s.i >> CAST(3 * us.level AS INTEGER)),
+whole AS (
+  SELECT lang, i, list(before ORDER BY level) AS b, list(after ORDER BY level) AS a,
+    sha256(string_agg(before || after, '' ORDER BY level)) AS proof FROM path GROUP BY lang, i),
+ready AS (
+  SELECT l.*, coalesce(b, []) AS b, coalesce(a, []) AS a, coalesce(proof, sha256('')) AS proof
+  FROM leaves l LEFT JOIN whole w ON l.lang IS NOT DISTINCT FROM w.lang AND l.i = w.i),
+f(doc_id, lang, leaf, proof, b, a, level, node) AS (
+  SELECT doc_id, lang, leaf, proof, b, a, 0, coalesce(changed, leaf) FROM ready
+  UNION ALL
+  SELECT doc_id, lang, leaf, proof, b, a, level + 1, sha256(b[level + 1] || node || a[level + 1]) FROM f WHERE level < len(b))
+SELECT f.doc_id, leaf, s.node AS subroot, u.node AS root, proof AS proof_sha256, f.node AS folded_root,
+  f.node = u.node AS verified
+FROM f JOIN subroots s ON f.lang IS NOT DISTINCT FROM s.lang JOIN u ON u.n = 1 WHERE f.level = len(b)
+""")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return manifest(docs, *lowered_thirds(F.col("doc_id"), F.col("text")))
+
+
+@_query("op12_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score,
+  score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 5
+""")
+def op12(spark, sf_dir):
+    return hard_negatives(shifted_sevenths(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+@_query("op13_token_files")
+def op13(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return write(docs).lookup(docs.select("doc_id"), with_ids=False)
