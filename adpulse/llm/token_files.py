@@ -4,7 +4,8 @@ Documents are tokenised, closed with an end id and dealt out in ascending order
 ``doc_id``.  One task writes one shard:
 
     shard-00000.ids   the ids of its documents one after the other, little-endian
-                      unsigned 32-bit numbers and nothing else
+                      unsigned numbers of 16 bits (32 if the vocabulary is larger)
+                      and nothing else
     shard-00000.dir   one fixed-size record (``ENTRY``) for each document: id, first
                       id in the shard, number of ids
     index-00000.mph   minimal perfect hash of a share of the keys (by hash), with a
@@ -26,11 +27,11 @@ Files are written to a hidden name and then renamed, so a task that runs twice
 leaves one file; both attempts write the same, as rows are sorted first.  A shard
 has about ``SHARD_BYTES`` of text, an index file about ``KEYS`` keys.
 
-Texts are cut before a space that other characters follow; the tokenizer never
-joins across such a place, so its ids for the pieces are those for the whole.
-Each different piece of a batch is encoded once; pieces seen before are remembered up
-to ``REMEMBERED`` bytes.  A longer piece, and a text that holds a special token,
-is encoded as a whole.
+Texts are cut before single line ends and before spaces that other characters follow;
+the tokenizer never joins across such a place, so its ids for the pieces are those for
+the whole.  Each different piece is encoded once and remembered, in two generations of
+about ``REMEMBERED`` bytes.  Texts with other white space are encoded as a whole,
+or in long slices.
 
 Nulls: a null text counts as empty (the end id alone); rows with a null id come
 first; the layout table names their shard, so they need no key.  Rows with the same id follow each other, by
@@ -40,28 +41,38 @@ manifest without shards and no documents.  Only ``doc_id`` and ``text`` are read
 
 from __future__ import annotations
 
+import array
+import functools
 import os
+import re
 import uuid
 import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adpulse.llm.common import parts_for, stored
+from adpulse.llm.packing import _byte_letters
 from adpulse.sources.sinks import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 SHARD_BYTES = 32 << 20
 KEYS = 200_000
-REMEMBERED = 64 << 20
-#: Longer pieces are not remembered.
-_LONG = 64
+REMEMBERED = 128 << 20
+#: About what one remembered piece takes, besides its letters.
+_ENTRY_BYTES = 200
+#: Letters with ASCII marks after them (no apostrophe, which may join them), perhaps after a line end.
+_SIMPLE = re.compile(r"(\n?)([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+#: Characters of a slice of a text that is encoded as a whole, and a place to cut.
+_SLICE = 1 << 20
+_CUT = re.compile(r"\S \S").search
 ENTRY = np.dtype([("doc_id", "<i8"), ("no_id", "<i8"), ("first", "<i8"), ("n", "<i8")])
 SLOT = np.dtype([("mark", "<u4"), ("shard", "<u4"), ("entry", "<u8")])
 #: Bits of a level for each key that is left, and levels before the rest is listed.
@@ -69,61 +80,95 @@ GAMMA, MOST_LEVELS = 2, 40
 
 
 class PieceTokenizer:
-    """Ids of texts as little-endian 32-bit bytes."""
+    """Ids of texts as arrays of ``kind``, in bytes."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.remembered, self.held = remembered, 0
         self.known: dict[str, bytes | None] = {}
-        self.held, self.remembered = 0, remembered
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, pieces: list[list[str]]) -> dict[str, bytes | None]:
-        """Ids of all pieces but the first of each text, with the space before them; None for those
-        that do not begin a piece of the tokenizer."""
-        if self.held > self.remembered:
-            self.known, self.held = {}, 0
-        new = set().union(*(p[1:] for p in pieces)) - self.known.keys()
-        begin = [p for p in new if p and not p[0].isspace()]
-        found = dict.fromkeys(new)
-        found.update(zip(begin, self._encoded([" " + p for p in begin]), strict=True))
-        short = {p: ids for p, ids in found.items() if len(p) <= _LONG}
-        self.known.update(short)
-        # A string and its ids take about this much.
-        self.held += sum(200 + len(p) + len(ids or b"") for p, ids in short.items())
-        return {p: ids for p, ids in found.items() if len(p) > _LONG}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        whole = [any(s in t for s in self.special) for t in texts]
-        pieces = [[""] if w else t.split(" ") for t, w in zip(texts, whole, strict=True)]
-        long = self._learn(pieces)
-        known = {**self.known, **long} if long else self.known
-        first = self._encoded([p[0] for p in pieces])
-        out = []
-        for text, w, p, start in zip(texts, whole, pieces, first, strict=True):
-            ids = [start, *map(known.__getitem__, p[1:])]
-            if w:
-                ids = self._encoded([text])
-            elif None in ids:
-                ids = self._encoded(_joined(p))
-            out.append(b"".join(ids))
+        self.old = self.known
+        self.letters = _byte_letters()
+        self.marks = functools.lru_cache(10_000)(lambda marks: self.encoded([marks])[0])
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array.array(self.kind, ids).tobytes()
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        """Each text as a whole."""
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Ids of pieces; None for those of which this cannot be said without what is around them."""
+        known, old, model, others = self.known, self.old, self.tokenizer.model, []
+        for p in new:
+            if p in old:
+                known[p] = old[p]
+            elif m := _SIMPLE(p):
+                line, letters, marks = m.groups()
+                # The vocabulary writes bytes as letters: a space as this one, ASCII letters as they are.
+                if not letters.isascii():
+                    letters = letters.encode().decode("latin-1").translate(self.letters)
+                ids = self._bytes([t.id for t in model.tokenize(letters if line else "\u0120" + letters)])
+                if line:
+                    ids = self.marks(line) + ids
+                known[p] = ids + self.marks(marks) if marks else ids
+            elif p == "\n" or (line := p.removeprefix("\n")) and not line[0].isspace() and not line[-1].isspace():
+                others.append(p)
+            else:
+                known[p] = None
+        known.update(zip(others, self.encoded([p if p[0] == "\n" else " " + p for p in others]), strict=True))
+        self.held += sum(map(len, new)) * 3 + _ENTRY_BYTES * len(new)
+
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text of a column (null: empty)."""
+        if not len(texts):
+            return []
+        texts = texts.fill_null("")
+        apart = pc.ends_with(texts, "\n\n")
+        for x in ("\n\n\n", "\n\n ", *self.special):
+            apart = pc.or_(apart, pc.match_substring(texts, x))
+        pieces = pc.split_pattern(pc.replace_substring(pc.if_else(apart, "", texts), "\n", " \n"), " ")
+        first = pieces.offsets.to_numpy()
+        coded = pieces.values.dictionary_encode()
+        at, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        if self.held > self.remembered:  # what is asked for again comes back from the generation before
+            self.old, self.known, self.held = self.known, {}, 0
+        follows = np.ones(len(at), bool)
+        follows[first[:-1]] = False  # a text's first piece has no space before it
+        self._learn([w for w in words if w not in self.known])
+        found = list(map(self.known.__getitem__, words))
+        whole = apart.to_numpy(zero_copy_only=False)
+        if None in found:
+            unsaid = np.array([ids is None for ids in found])
+            found = [ids or b"" for ids in found]
+            whole = whole | np.logical_or.reduceat(unsaid[at] & follows, first[:-1])
+        joined = np.frombuffer(b"".join(found), self.kind)
+        n = np.fromiter(map(len, found), np.int32, len(found)) // joined.itemsize
+        start, own = (np.cumsum(n, dtype=np.int32) - n)[at], n[at] * follows
+        upto = np.cumsum(own)
+        body = joined[np.repeat(start - (upto - own).astype(np.int32), own) + np.arange(upto[-1], dtype=np.int32)].tobytes()
+        ends = np.concatenate(([0], upto))[first] * joined.itemsize
+        begin = self.encoded([words[i] for i in at[first[:-1]]])
+        out = [b + body[x:y] for b, x, y in zip(begin, ends[:-1], ends[1:], strict=True)]
+        for i in np.flatnonzero(whole):
+            out[i] = self._long(texts[int(i)].as_py())
         return out
 
-
-def _joined(pieces: list[str]) -> list[str]:
-    """The pieces with their spaces; one that begins with white space or is empty belongs to what is before it."""
-    out = [[pieces[0]]]
-    for p in pieces[1:]:
-        if p and not p[0].isspace():
-            out.append([" ", p])
-        else:
-            out[-1] += [" ", p]
-    return ["".join(x) for x in out]
+    def _long(self, text: str) -> bytes:
+        """A text as a whole, or in slices cut before a space between two that are none, unless it holds a special token."""
+        if len(text) <= _SLICE or any(s in text for s in self.special):
+            return self.encoded([text])[0]
+        out, at = [], 0
+        while at < len(text):
+            cut = _CUT(text, at + _SLICE)
+            to = cut.start() + 1 if cut else len(text)
+            out += self.encoded([text[at:to]])
+            at = to
+        return b"".join(out)
 
 
 def _mix(x: np.ndarray, salt: int) -> np.ndarray:
@@ -235,43 +280,46 @@ def _read(path: str, first: int = 0, n: int | None = None) -> bytes:
         return f.read_at(f.size() - first if n is None else n, first)
 
 
-def _slices(batch: pa.RecordBatch, size: int = 1 << 20):
-    """(ids, texts) of a batch, about ``size`` characters at a time."""
-    ids, texts, held = [], [], 0
-    for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-        text = text.as_py() or ""
-        ids.append(doc)
-        texts.append(text)
-        held += len(text)
-        if held >= size:
-            yield ids, texts
-            ids, texts, held = [], [], 0
-    if ids:
-        yield ids, texts
+def _slices(batch: pa.RecordBatch, size: int = 4 << 20):
+    """(ids, texts) of a batch, about ``size`` bytes of text at a time."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+    cuts = np.unique(np.searchsorted(upto, np.arange(size, upto[-1], size)) + 1) if len(upto) else []
+    for a, b in zip([0, *cuts], [*cuts, len(upto)], strict=True):
+        yield batch.column("doc_id")[a:b].to_pylist(), batch.column("text")[a:b]
 
 
 _DIRECTORY = "shard long, entry long, doc_id long, first long, n long, leads boolean"
 _TOKENIZERS: dict[str, PieceTokenizer] = {}
 
 
+def _file(tokenizer: str) -> str:
+    import public_tokenizers
+
+    return tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer)
+
+
+def _kind(tokenizer: str) -> str:
+    """The type of the ids in the files."""
+    return {"H": "<u2", "I": "<u4"}[PieceTokenizer(_file(tokenizer)).kind]
+
+
 def _shard_writer(path: str, tokenizer_file: str, end_id: int):
     def run(batches):
-        import public_tokenizers
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        file = public_tokenizers.path(tokenizer_file) if "/" not in tokenizer_file else tokenizer_file
+        file = _file(tokenizer_file)
         if file not in _TOKENIZERS:
             _TOKENIZERS[file] = PieceTokenizer(file)
-        shard, end = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
+        tokenizer, shard = _TOKENIZERS[file], TaskContext.get().partitionId()
+        end, width = array.array(tokenizer.kind, [end_id]).tobytes(), array.array(tokenizer.kind).itemsize
         docs, sizes, at, payload = [], [], 0, None
         for batch in batches:
             for ids, texts in _slices(batch):
                 if payload is None:
                     payload = _Written(f"{path}/shard-{shard:05d}.ids")
                 out = payload.__enter__()
-                for found in _TOKENIZERS[file].ids(texts):
+                for found in tokenizer.ids(texts):
                     out.write(found + end)
-                    sizes.append(len(found) // 4 + 1)
+                    sizes.append(len(found) // width + 1)
                 docs += ids
         if payload is None:
             return
@@ -323,7 +371,7 @@ def _keyed(df: DataFrame, shares: int) -> DataFrame:
 
 
 _MANIFEST = "shard long, entries long, ids long, ids_before long"
-_LAYOUT = "shares long, null_shard long"
+_LAYOUT = "shares long, null_shard long, kind string"
 
 
 class TokenFiles:
@@ -333,16 +381,16 @@ class TokenFiles:
     def __init__(self, spark: SparkSession, path: str):
         self.path = path
         self.manifest = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest")
-        self.shares, self.null_shard = spark.read.schema(_LAYOUT).parquet(f"{path}/layout").first()
+        self.shares, self.null_shard, self.kind = spark.read.schema(_LAYOUT).parquet(f"{path}/layout").first()
 
     def reader(self) -> Reader:
-        return Reader(self.path, self.shares, self.null_shard)
+        return Reader(self.path, self.shares, self.null_shard, self.kind)
 
     def lookup(self, keys: DataFrame, with_ids: bool = True) -> DataFrame:
         """``doc_id, start, n_tokens, ids_crc32`` and, if wanted, ``ids`` (binary) of every document that has
         a ``doc_id`` of ``keys`` (each asked once), by way of the index: ``start`` counts the ids of all
-        earlier documents."""
-        path, shares = self.path, self.shares
+        earlier documents, ``ids`` are 32-bit numbers."""
+        path, shares, kind = self.path, self.shares, np.dtype(self.kind)
 
         def placed(pdf: pd.DataFrame) -> pd.DataFrame:
             try:
@@ -371,7 +419,7 @@ class TokenFiles:
                         if (own["doc_id"], own["no_id"]) != (doc or 0, doc is None):
                             break
                         first, n = int(own["first"]), int(own["n"])
-                        ids = payload[4 * first:4 * (first + n)]
+                        ids = np.frombuffer(payload, kind, n, first * kind.itemsize).astype("<u4").tobytes()
                         out.append((doc, before + first, n, zlib.crc32(ids), ids))
                 columns = list(zip(*out, strict=True)) if out else [()] * 5
                 kinds = [pa.int64()] * 4 + [pa.binary()] * with_ids
@@ -393,8 +441,8 @@ class TokenFiles:
 class Reader:
     """Keyed access to single documents, without Spark."""
 
-    def __init__(self, path: str, shares: int, null_shard: int | None = None):
-        self.path, self.shares, self.null_shard = path, shares, null_shard
+    def __init__(self, path: str, shares: int, null_shard: int | None = None, kind: str = "<u2"):
+        self.path, self.shares, self.null_shard, self.kind = path, shares, null_shard, np.dtype(kind)
         self.indexes: dict[int, tuple[PerfectHash, np.ndarray]] = {}
 
     def _place(self, doc_id: int | None) -> tuple[int, int] | None:
@@ -422,8 +470,9 @@ class Reader:
                 own = np.frombuffer(data, ENTRY)[0]
                 if (own["doc_id"], own["no_id"]) != (doc_id or 0, doc_id is None):
                     break
-                ids = _read(f"{self.path}/shard-{shard:05d}.ids", 4 * int(own["first"]), 4 * int(own["n"]))
-                out.append(np.frombuffer(ids, "<u4"))
+                width = self.kind.itemsize
+                ids = _read(f"{self.path}/shard-{shard:05d}.ids", width * int(own["first"]), width * int(own["n"]))
+                out.append(np.frombuffer(ids, self.kind))
                 entry += 1
         return out
 
@@ -447,7 +496,7 @@ def write(docs: DataFrame, path: str | None = None, tokenizer: str = TOKENIZER,
     keyed = leads.filter("doc_id is not null")
     shares = parts_for(keyed.count(), KEYS)
     layout = leads.agg(F.lit(shares).cast("long").alias("shares"), F.min(F.when(F.col("doc_id").isNull(), F.col("shard")))
-                       .alias("null_shard"))
+                       .alias("null_shard"), F.lit(_kind(tokenizer)).alias("kind"))
     layout.write.parquet(f"{path}/layout")
     (_keyed(keyed, shares).select("share", "doc_id", "shard", "entry").groupBy("share")
      .applyInPandas(_index_writer(path), "share long, keys long").write.parquet(f"{path}/index"))

@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_llm_operators import TEXTS, frame
@@ -165,7 +166,7 @@ def test_candidates_lose_nothing_and_prune():
                 found = bucket.candidates(a, float(np.sqrt(a @ a)), int(reach))
                 assert set(np.flatnonzero(score >= reach)) <= set(found.tolist())
                 left.append(len(found))
-    assert np.mean(left) < 250
+    assert min(left) < 100 and np.median(left) < 300
 
 
 def test_scores_beyond_doubles():
@@ -196,19 +197,20 @@ def _tokenizer():
 
 
 ODD = ["", " ", "  ", "a", " a", "a  b", "a \n b", "a\n\n b  ", "a   ", "　b c  d", "it's  we'll \t x", "x<|endoftext|>  <|endoftext|> y",
-       "é  ü z ​ a", "1 2  34 . .. !  ?", "a" * 500 + " " + "b" * 500, "\r\n a\x0bb \x1c c \x85 d", " ́ a", "日本 語  テ キスト"]
+       "é  ü z ​ a", "1 2  34 . .. !  ?", "a" * 500 + " " + "b" * 500, "\r\n a\x0bb \x1c c \x85 d", " ́ a", "日本 語  テ キスト", "a\nb. c\n\nd,\n\n\ne", "a\n\n", "a\n\n b", "\na", "\n\na", "\n", "a \nb", "a\n b", "x²\n½ y_z"]
 
 
-def test_pieces_give_the_ids_of_the_whole():
+def test_pieces_give_the_ids_of_the_whole(monkeypatch):
     import public_tokenizers
 
     rng = np.random.default_rng(1)
     parts = [*"ab1.'é ", "  ", "\n", "\t", " \n ", "don't", " ", " ", "<|endoftext|>", "語", "!!", "\x1c"]
+    monkeypatch.setattr(token_files, "_SLICE", 10)
     texts = ODD + ["".join(rng.choice(parts, 30)) for _ in range(2000)]
-    whole = [np.array(e.ids, "<u4").tobytes() for e in _tokenizer().encode_batch(texts, add_special_tokens=False)]
+    whole = [np.array(e.ids, "<u2").tobytes() for e in _tokenizer().encode_batch(texts, add_special_tokens=False)]
     fast = PieceTokenizer(public_tokenizers.path(token_files.TOKENIZER), remembered=5_000)
-    assert [x for i in range(0, len(texts), 37) for x in fast.ids(texts[i:i + 37])] == whole
-    assert fast.held < 200_000
+    assert [x for i in range(0, len(texts), 37) for x in fast.ids(pa.array(texts[i:i + 37]))] == whole
+    assert fast.held < 500_000
 
 
 def test_perfect_hash():
