@@ -65,7 +65,7 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 SHARD_BYTES = 32 << 20
 KEYS = 200_000
-REMEMBERED = 128 << 20
+REMEMBERED = 160 << 20
 #: About what one remembered piece takes, besides its letters.
 _ENTRY_BYTES = 200
 #: Letters with ASCII marks after them (no apostrophe, which may join them), perhaps after a line end.
@@ -90,6 +90,7 @@ class PieceTokenizer:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.remembered, self.held = remembered, 0
         self.known: dict[str, bytes | None] = {}
+        self.parts: dict[str, bytes] = {}
         self.old = self.known
         self.letters = _byte_letters()
         self.marks = functools.lru_cache(10_000)(lambda marks: self.encoded([marks])[0])
@@ -103,7 +104,8 @@ class PieceTokenizer:
 
     def _learn(self, new: list[str]) -> None:
         """Ids of pieces; None for those of which this cannot be said without what is around them."""
-        known, old, model, others = self.known, self.old, self.tokenizer.model, []
+        known, old, parts, model, others = self.known, self.old, self.parts, self.tokenizer.model, []
+        n = len(parts)
         for p in new:
             if p in old:
                 known[p] = old[p]
@@ -112,7 +114,10 @@ class PieceTokenizer:
                 # The vocabulary writes bytes as letters: a space as this one, ASCII letters as they are.
                 if not letters.isascii():
                     letters = letters.encode().decode("latin-1").translate(self.letters)
-                ids = self._bytes([t.id for t in model.tokenize(letters if line else "\u0120" + letters)])
+                letters = letters if line else "\u0120" + letters
+                ids = parts.get(letters)
+                if ids is None:
+                    ids = parts[letters] = self._bytes([t.id for t in model.tokenize(letters)])
                 if line:
                     ids = self.marks(line) + ids
                 known[p] = ids + self.marks(marks) if marks else ids
@@ -121,7 +126,7 @@ class PieceTokenizer:
             else:
                 known[p] = None
         known.update(zip(others, self.encoded([p if p[0] == "\n" else " " + p for p in others]), strict=True))
-        self.held += sum(map(len, new)) * 3 + _ENTRY_BYTES * len(new)
+        self.held += sum(map(len, new)) * 3 + _ENTRY_BYTES * (len(new) + len(parts) - n)
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text of a column (null: empty)."""
@@ -136,7 +141,7 @@ class PieceTokenizer:
         coded = pieces.values.dictionary_encode()
         at, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         if self.held > self.remembered:  # what is asked for again comes back from the generation before
-            self.old, self.known, self.held = self.known, {}, 0
+            self.old, self.known, self.parts, self.held = self.known, {}, {}, 0
         follows = np.ones(len(at), bool)
         follows[first[:-1]] = False  # a text's first piece has no space before it
         self._learn([w for w in words if w not in self.known])
@@ -433,7 +438,8 @@ class TokenFiles:
                 "doc_id", F.lit(self.null_shard).cast("long").alias("shard"), F.lit(0).cast("long").alias("entry")))
         shards = self.manifest.select("shard", F.col("ids_before").alias("before"))
         # A shard is read by one task, its entries in order.
-        return (places.join(shards, "shard").repartition("shard").sortWithinPartitions("shard", "entry")
+        tasks = min(max(1, shards.count()), 10_000)
+        return (places.join(shards, "shard").repartition(tasks, "shard").sortWithinPartitions("shard", "entry")
                 .mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long"
                             + ", ids binary" * with_ids))
 
