@@ -61,12 +61,18 @@ def land_day(docs: DataFrame, path: str, text_col: str = "doc_text") -> None:
 def run_daily(spark: SparkSession, raw_path: str, places: DataFrame, base: str, day,
               persist_stages: bool = False, metrics: dict | None = None, **options) -> DataFrame:
     """Read one day of raw JSON lines, write its final ads, return them (read back).
+    Rows that a stream wrote for the same day stay beside them.
 
     Broken lines go to ``quarantine`` of the same day.  ``persist_stages`` also
     stores stages 1 to 3.  ``metrics`` receives the day's counts, taken while the
     data is written (no extra pass).
     """
-    d = _day(day)
+    with sinks.scratch(spark):
+        return _run_daily(spark, raw_path, places, base, _day(day), persist_stages, metrics, options)
+
+
+def _run_daily(spark: SparkSession, raw_path: str, places: DataFrame, base: str, d: dt.date, persist_stages: bool,
+               metrics: dict | None, options: dict) -> DataFrame:
     scope = {"year": d.year, "month": d.month, "day": d.day}
     good, broken = readers.read_raw_json_quarantine(spark, raw_path)
     seen = {name: Observation(f"{name}-{d}") for name in ("read", "broken", "final")}
@@ -81,18 +87,19 @@ def run_daily(spark: SparkSession, raw_path: str, places: DataFrame, base: str,
         return readers.read_day(spark, f"{base}/stage{n}", d, df.schema).drop(*scope)
     rows = stage(1, ingest(good))
     rows = stage(2, clean_and_locate(rows, places, options.get("fill_order"), options.get("max_km")))
-    final = finalize(stage(3, add_features(rows))).withColumn("batch_id", F.lit(DAILY))
+    final = finalize(stage(3, add_features(rows)))
     counted = final.observe(seen["final"], F.count(F.lit(1)).alias("rows"), *(
         F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("company_name", "city", "created")))
-    sinks.replace_scope(counted, f"{base}/final", scope, ["batch_id"])
+    # Only the daily run's own folder: what streams wrote for the same day stays.
+    own = scope | {"batch_id": DAILY}
+    sinks.replace_scope(counted, f"{base}/final", own)
     if metrics is not None:
         found = {name: o.get for name, o in seen.items()}
         metrics.update({"rows_read": found["read"]["rows"], "rows_broken": found["broken"]["rows"],
                         "rows_final": found["final"]["rows"],
                         "duplicates_or_dropped": found["read"]["rows"] - found["final"]["rows"],
                         **{k: v for k, v in found["final"].items() if k != "rows"}})
-    sinks.clear_scratch(spark)
-    return readers.read_day(spark, f"{base}/final", d, final.schema).drop("batch_id")
+    return readers.read_scope(spark, f"{base}/final", own, final.schema).drop("batch_id")
 
 
 def run_monthly(spark: SparkSession, base: str, year: int, month: int,
@@ -102,6 +109,11 @@ def run_monthly(spark: SparkSession, base: str, year: int, month: int,
     Raises ``ValueError`` when the month has no final ads: nothing is written
     then, and the tables of an earlier run stay.
     """
+    with sinks.scratch(spark):
+        return _run_monthly(spark, base, year, month, match_state)
+
+
+def _run_monthly(spark: SparkSession, base: str, year: int, month: int, match_state: bool) -> dict[str, DataFrame]:
     ym = {"year": year, "month": month}
     final = (readers.read_month(spark, f"{base}/final", year, month, final_schema(spark))
              .drop("year", "month", "day", "batch_id"))
@@ -122,5 +134,4 @@ def run_monthly(spark: SparkSession, base: str, year: int, month: int,
     clicks = stored("clicks", generate_clicks(jobs))
     mart = stored("performance", performance_mart(campaigns, jobs, clicks, match_state=match_state,
                                                   materialize=True), "date")
-    sinks.clear_scratch(spark)
     return {"jobs": jobs, "campaigns": campaigns, "clicks": clicks, "performance": mart}

@@ -2,13 +2,39 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 from adpulse.session import shared_dir
 
+#: Folders that ``materialize`` wrote inside the open ``scratch`` blocks, the innermost last.
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("scratch", default=())
+
 
-#: Folders that ``materialize`` wrote and ``clear_scratch`` has yet to delete.
-_scratch: list[str] = []
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Own the scratch tables that the block makes: they are deleted when it ends.
+
+    Only what this block (in this thread) stored goes, never what other queries
+    of the session still read.  A result must be written before the block ends.
+    Outside of any block scratch tables stay, as lazy results may read them.
+    """
+    made: list[str] = []
+    token = _blocks.set((*_blocks.get(), made))
+    try:
+        yield made
+    finally:
+        _blocks.reset(token)
+        for path in made:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -73,7 +99,7 @@ def recover(spark: SparkSession, path: str) -> None:
 
 
 def recover_below(spark: SparkSession, path: str) -> None:
-    """``recover`` for every folder directly below ``path`` that was being swapped."""
+    """``recover`` for every partition folder below ``path`` that was being swapped."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return
@@ -81,6 +107,8 @@ def recover_below(spark: SparkSession, path: str) -> None:
         name = status.getPath().getName()
         if name.startswith("_old-"):
             recover(spark, f"{path}/{name[5:].replace('~', '=')}")
+        elif status.isDirectory() and "=" in name:
+            recover_below(spark, f"{path}/{name}")
 
 
 def write_swap(df: DataFrame, path: str, partition_cols=()) -> None:
@@ -146,13 +174,7 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     recomputing it, and lineage is cut there (survives lost executors)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    _scratch.append(path)
+    if blocks := _blocks.get():
+        blocks[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables that ``materialize`` made in this session."""
-    while _scratch:
-        fs, p = _fs(spark, _scratch.pop())
-        fs.delete(p, True)

@@ -1,5 +1,7 @@
 """Spark result == DuckDB oracle (rows as a multiset, columns by name) on sf0.001."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -29,8 +31,11 @@ def _bag(rows, cols):
 
 
 def test_registry_is_complete():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) >= 60
+    queries, oracles = set(entry.queries()), set(entry.oracle_sql())
+    assert oracles <= queries
+    # Training-data queries that SQL cannot state are held against brute force in their own tests.
+    assert all(re.match(r"op[0-9]+_|pipeline$", name) for name in queries - oracles)
+    assert len(oracles) >= 60
 
 
 @pytest.mark.parametrize("name", CHECKED)

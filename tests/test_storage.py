@@ -159,3 +159,85 @@ def test_stream_restarts_and_daily_runs_share_a_table(spark):
     both = spark.read.parquet(f"{base}/final")
     assert {r.day for r in both.select("day").distinct().collect()} == {1, 2}
     assert both.filter("day = 1").count() == n and both.count() == both.select("id").distinct().count()
+
+
+def _land(spark, path, lo, hi):
+    raw = fx.events_as_raw(spark, SF_SMALL).filter(F.col("id").cast("int").between(lo, hi - 1))
+    sinks.write_json_lines(raw.repartition(3), path)
+
+
+def test_daily_run_keeps_what_a_stream_wrote_that_day(spark):
+    base = sinks.scratch_path(spark, f"same-day-{uuid.uuid4().hex[:6]}")
+    places = fx.supplier_places(spark, SF_SMALL)
+    _land(spark, f"{base}/raw/2025/08/01", 0, 300)
+    start_incremental_ingest(spark, f"{base}/raw", places, base).awaitTermination()
+    streamed = set(r.id for r in spark.read.parquet(f"{base}/final").collect())
+    _land(spark, f"{base}/other", 300, 500)
+    day = run_daily(spark, f"{base}/other", places, base, "2025-08-01")
+    own = set(r.id for r in day.collect())
+    assert streamed and own and not streamed & own
+    both = [r.id for r in readers.read_day(spark, f"{base}/final", "2025-08-01").collect()]
+    assert sorted(both) == sorted(streamed | own)
+    # Run again with fewer rows: only its own rows are replaced.
+    _land(spark, f"{base}/less", 300, 320)
+    less = set(r.id for r in run_daily(spark, f"{base}/less", places, base, "2025-08-01").collect())
+    both = [r.id for r in readers.read_month(spark, f"{base}/final", 2025, 8).collect()]
+    assert less < own and sorted(both) == sorted(streamed | less)
+
+
+def test_stream_keeps_an_id_once_over_batches_restarts_and_daily_runs(spark):
+    base = sinks.scratch_path(spark, f"ids-{uuid.uuid4().hex[:6]}")
+    places = fx.supplier_places(spark, SF_SMALL)
+    run = lambda **more: start_incremental_ingest(spark, f"{base}/raw", places, base, **more).awaitTermination()
+    ids = lambda: [r.id for r in spark.read.parquet(f"{base}/final").collect()]
+    _land(spark, f"{base}/raw/2025/08/01", 0, 200)
+    run(max_files=1)
+    first = ids()
+    _land(spark, f"{base}/raw/2025/08/02", 100, 300)
+    run(max_files=2)
+    second = ids()
+    assert len(second) == len(set(second)) > len(first) and set(first) < set(second)
+    # An ad keeps the day on which it landed first.
+    assert spark.read.parquet(f"{base}/final").filter("day = 1").count() == len(first)
+    # What a daily run took is not taken by the stream again.
+    _land(spark, f"{base}/raw/2025/08/03", 300, 400)
+    run_daily(spark, f"{base}/raw/2025/08/03", places, base, "2025-08-03")
+    n = len(ids())
+    run()
+    assert len(ids()) == n == len(set(ids()))
+    # Beyond the horizon an ad is new again.
+    _land(spark, f"{base}/raw/2026/08/01", 0, 50)
+    run(horizon_days=30)
+    assert len(ids()) > n
+
+
+def test_stream_quarantines_broken_lines_and_files_without_a_day(spark):
+    base = sinks.scratch_path(spark, f"broken-{uuid.uuid4().hex[:6]}")
+    places = fx.supplier_places(spark, SF_SMALL)
+    _land(spark, f"{base}/raw/2025/08/01", 0, 100)
+    _land(spark, f"{base}/raw/elsewhere", 100, 130)
+    spark.createDataFrame([('{"id": "broken',), ("not json",)], "value string").write.mode("append").text(f"{base}/raw/2025/08/01")
+    start_incremental_ingest(spark, f"{base}/raw", places, base).awaitTermination()
+    bad = spark.read.parquet(f"{base}/quarantine").groupBy("reason", "day").count().collect()
+    n = {name: [len(df.collect()) for df in readers.read_raw_json_quarantine(spark, f"{base}/raw/{name}")]
+         for name in ("2025/08/01", "elsewhere")}
+    # As the daily run quarantines them.
+    assert {(r.reason, r.day): r["count"] for r in bad} == {
+        ("broken line", 1): n["2025/08/01"][1], ("broken line", 0): n["elsewhere"][1], ("no landing day", 0): n["elsewhere"][0]}
+    assert n["2025/08/01"][1] > 2
+    assert spark.read.parquet(f"{base}/final").select("day").distinct().collect()[0].day == 1
+
+
+def test_runs_delete_only_their_own_scratch_tables(spark):
+    base = sinks.scratch_path(spark, f"scratch-{uuid.uuid4().hex[:6]}")
+    other = sinks.materialize(spark.range(7), "other")
+    _land(spark, f"{base}/raw", 0, 50)
+    run_daily(spark, f"{base}/raw", fx.supplier_places(spark, SF_SMALL), base, "2025-08-01")
+    assert other.count() == 7
+    with sinks.scratch(spark) as outer:
+        kept = sinks.materialize(spark.range(3), "kept")
+        with sinks.scratch(spark) as inner:
+            sinks.materialize(spark.range(2), "gone")
+            gone = inner[0]
+        assert not sinks.path_exists(spark, gone) and kept.count() == 3 and len(outer) == 1
+    assert not sinks.path_exists(spark, outer[0])
