@@ -1,20 +1,17 @@
 """Place completion: missing places (P12), lookup fill (J5 + P15) and
-nearest-place reverse geocoding (J9) as a distributed grid join."""
+nearest-place reverse geocoding (J9) by the cell index."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adpulse.functions.scalars import place_name_fallback
+from adpulse.operators.cell_index import nearest
 from adpulse.schemas import PLACE_COLUMNS
-from adpulse.sources.sinks import materialize
 
-EARTH_RADIUS_KM = 6371.0
-KM_PER_DEGREE = EARTH_RADIUS_KM * math.pi / 180.0
 COORDS = ["longitude", "latitude"]
 
 
@@ -62,132 +59,26 @@ def fill_from_lookup(df: DataFrame, places: DataFrame) -> DataFrame:
     return done.unionByName(filled)
 
 
-def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    p1, p2 = F.radians(lat1), F.radians(lat2)
-    dphi = p2 - p1
-    dlmb = F.radians(lon2) - F.radians(lon1)
-    a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
-
-
-def _cells(lat: Column, lon: Column, cell_deg: float) -> tuple[Column, Column]:
-    return (F.floor(lat / F.lit(cell_deg)).cast("int"),
-            F.floor((lon + F.lit(180.0)) / F.lit(cell_deg)).cast("int"))
-
-
-def default_cell_deg(max_km: float) -> float:
-    """Smallest cell that covers ``max_km`` in latitude and tiles 360 degrees
-    (fewer candidates per point than a coarser grid)."""
-    return _tiling(max_km / KM_PER_DEGREE)
-
-
-def _tiling(cell_deg: float) -> float:
-    """Round a cell size up so that a whole number of columns spans 360
-    degrees: the wrap at +/-180 then has no narrow seam column."""
-    n = max(1, int(math.floor(360.0 / cell_deg)))
-    return 360.0 / n
-
-
-#: Half the circumference: no two points are further apart.
-FARTHEST_KM = 20_020.0
-#: First search radius; unmatched coordinates are tried again at ``WIDEN`` times the radius.
-FIRST_KM = 2.0
-WIDEN = 8.0
-
-
-def nearest_places(coords: DataFrame, places: DataFrame, max_km: float | None = None,
-                   cell_deg: float | None = None) -> DataFrame:
+def nearest_places(coords: DataFrame, places: DataFrame, max_km: float | None = None) -> DataFrame:
     """Nearest place of each distinct (longitude, latitude), however far it is
-    (or within ``max_km``, if given).
-
-    The search begins in a small radius, where even a dense city leaves a few
-    candidates per coordinate; only the coordinates that found nothing go on to
-    the next, wider one.  A place found within a radius is the nearest, as all
-    nearer ones lie within it too.  Coordinates without latitude or longitude
-    have no place.
-    """
-    limit = FARTHEST_KM if max_km is None else max_km
-    radius = min(limit, FIRST_KM)
-    left = materialize(coords.select(*COORDS).dropna().distinct(), "coordinates")
-    found = []
-    while True:
-        near = materialize(_nearest_within(left, places, radius, cell_deg), "nearest")
-        found.append(near)
-        if radius >= limit:
-            break
-        left = materialize(left.join(near.select(*COORDS), COORDS, "left_anti"), "coordinates")
-        if left.isEmpty():
-            break
-        radius = min(limit, radius * WIDEN)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def _nearest_within(coords: DataFrame, places: DataFrame, max_km: float, cell_deg: float | None) -> DataFrame:
-    """Nearest place within ``max_km`` of each distinct (longitude, latitude).
-
-    Places are copied into every grid cell within reach (rows of cells
-    ``k_lat`` apart in latitude; in longitude as many cells as ``max_km``
-    spans at that row's worst latitude, wrapping at +/-180), coordinates are
-    equi-joined on their own cell, and the nearest candidate is picked by a
-    ``min(struct(distance, place))`` aggregate - partial per task.  The work
-    per coordinate is bounded by the places near it, not by how many rows
-    share that coordinate.
-    """
-    cell_deg = _tiling(cell_deg) if cell_deg else default_cell_deg(max_km)
-    n_cols = int(round(360.0 / cell_deg))
-    k_lat = int(math.ceil(max_km / (KM_PER_DEGREE * cell_deg)))
-    pl = normalize_places(places)
-    cy, cx = _cells(F.col("latitude"), F.col("longitude"), cell_deg)
-    pl = pl.withColumns({"__cy": cy, "__cx": cx})
-    pl = pl.withColumn("__dy", F.explode(F.sequence(F.lit(-k_lat), F.lit(k_lat))))
-    band = F.col("__cy") + F.col("__dy")
-    # Two points within max_km satisfy sin^2(dlon/2) <= sin^2(d/2R) / (cos p1 cos p2);
-    # bound cos p1 cos p2 below by cos^2 of the poleward-most edge of the
-    # place's band and the query's band.
-    worst_lat = F.least(F.lit(89.999), F.greatest(
-        F.abs(band), F.abs(band + 1), F.abs(F.col("__cy")), F.abs(F.col("__cy") + 1)
-    ).cast("double") * F.lit(cell_deg))
-    ratio = F.lit(math.sin(max_km / (2 * EARTH_RADIUS_KM))) / F.cos(F.radians(worst_lat))
-    span_deg = F.when(ratio >= 1, F.lit(180.0)).otherwise(F.degrees(F.asin(ratio) * 2))
-    span = F.ceil(span_deg / F.lit(cell_deg)) + F.lit(1)
-    k_lon = F.least(span, F.lit(n_cols // 2)).cast("int")
-    pl = (pl.withColumn("__dx", F.explode(F.sequence(-k_lon, k_lon)))
-          .select(F.col("longitude").alias("__plon"), F.col("latitude").alias("__plat"),
-                  *PLACE_COLUMNS,
-                  band.alias("__gy"),
-                  F.pmod(F.col("__cx") + F.col("__dx"), F.lit(n_cols)).alias("__gx"))
-          .dropDuplicates(["__plon", "__plat", "__gy", "__gx"]))
-    q = coords.select(*COORDS).distinct()
-    qy, qx = _cells(F.col("latitude"), F.col("longitude"), cell_deg)
-    q = q.select(*COORDS, qy.alias("__gy"), F.pmod(qx, F.lit(n_cols)).alias("__gx"))
-    cand = (q.join(pl, ["__gy", "__gx"])
-            .withColumn("__d", haversine_km(F.col("latitude"), F.col("longitude"),
-                                            F.col("__plat"), F.col("__plon")))
-            .filter(F.col("__d") <= F.lit(max_km)))
-    best = (cand.groupBy(*COORDS)
-            .agg(F.min(F.struct(F.col("__d").alias("distance_km"), F.col("__plon").alias("lon"),
-                                F.col("__plat").alias("lat"), *PLACE_COLUMNS)).alias("__b")))
-    return best.select(*COORDS, *[F.col("__b")[c].alias(c) for c in PLACE_COLUMNS],
-                       F.col("__b")["distance_km"].alias("distance_km"))
+    (or within ``max_km``, if given), by a multi-level cell index.
+    Coordinates without latitude or longitude have no place."""
+    return nearest(coords, normalize_places(places), list(PLACE_COLUMNS), max_km)
 
 
 def reverse_geocode(points: DataFrame, places: DataFrame, id_col: str = "point_id",
-                    max_km: float | None = None, cell_deg: float | None = None) -> DataFrame:
+                    max_km: float | None = None) -> DataFrame:
     """Each point with its nearest place (nulls if ``max_km`` is given and none is that near)."""
-    near = nearest_places(points, places, max_km, cell_deg)
+    near = nearest_places(points, places, max_km)
     return (points.join(near, COORDS, "left")
             .select(*points.columns, *PLACE_COLUMNS, "distance_km"))
 
 
-def fill_from_nearest(df: DataFrame, places: DataFrame, max_km: float | None = None,
-                      cell_deg: float | None = None) -> DataFrame:
+def fill_from_nearest(df: DataFrame, places: DataFrame, max_km: float | None = None) -> DataFrame:
     """C2 variant: complete null place parts from the nearest place."""
     need = df.filter(any_place_missing())
     done = df.filter(~any_place_missing())
-    near = nearest_places(need, places, max_km, cell_deg) \
+    near = nearest_places(need, places, max_km) \
         .select(*COORDS, *[F.col(c).alias(f"__n_{c}") for c in PLACE_COLUMNS])
     filled = (need.join(near, COORDS, "left")
               .withColumns({c: F.coalesce(F.col(c), F.col(f"__n_{c}")) for c in PLACE_COLUMNS})

@@ -92,6 +92,24 @@ def test_nearest_place_equals_brute_force_everywhere(spark, places, points, max_
             assert got[i] is None
 
 
+anywhere = st.tuples(st.one_of(st.floats(-180, 180), st.sampled_from([-180.0, 180.0, 0.0, 45.0])),
+                     st.one_of(st.floats(-90, 90), st.sampled_from([-90.0, 90.0, 89.9999, 45.0, 0.0])))
+
+
+@SETTINGS
+@given(st.lists(anywhere, min_size=1, max_size=30), st.lists(anywhere, min_size=1, max_size=25))
+def test_nearest_place_equals_brute_force_at_any_distance(spark, places, points):
+    """Also at the poles, on cell borders and across the date line."""
+    from adpulse.operators import geo
+    pl = spark.createDataFrame([(lo, la, f"p{i}", "c", "s", "x") for i, (lo, la) in enumerate(places)],
+                               "longitude double, latitude double, city string, county string, state string, country string")
+    pts = spark.createDataFrame([(i, lo, la) for i, (lo, la) in enumerate(points)],
+                                "point_id long, longitude double, latitude double")
+    got = {r.point_id: r.distance_km for r in geo.reverse_geocode(pts, pl).collect()}
+    for i, (lo, la) in enumerate(points):
+        assert abs(got[i] - min(_hav_km(lo, la, plo, pla) for plo, pla in places)) < 1e-5
+
+
 ads_rows = st.lists(st.tuples(st.sampled_from(["Acme", "Bolt", "Core", None]),
                               st.sampled_from(["CA", "TX", None]),
                               st.sampled_from([0.25, 1.0, 3.5, 6.25])),

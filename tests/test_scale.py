@@ -1,6 +1,7 @@
 """Results that must not depend on sizes, outliers, distances or how a key is spelled."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,47 @@ def test_a_dense_city_is_searched_in_small_cells(spark):
     assert geo.nearest_places(points, places).count() == 20_000
 
 
+def _numbers(df, node):
+    """Output rows of the executed plan's nodes of a kind."""
+    out, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        plan = left.pop()
+        name = plan.getClass().getSimpleName()
+        if name.startswith("AdaptiveSparkPlan"):
+            left.append(plan.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            left.append(plan.plan())
+            continue
+        if re.search(node, name) and plan.metrics().contains("numOutputRows"):
+            out.append(plan.metrics().apply("numOutputRows").value())
+        left += [plan.children().apply(i) for i in range(plan.children().size())]
+    return out
+
+
+def test_far_coordinates_do_not_meet_all_places(spark):
+    """100,000 coordinates in an ocean, 5000 km and more from 20,000 places: no join comes near all pairs."""
+    places = spark.range(20_000).select((-5 + F.rand(3) * 15).alias("longitude"), (40 + F.rand(4) * 15).alias("latitude"),
+                                        F.col("id").cast("string").alias("city")).withColumns(
+        {c: F.lit(None).cast("string") for c in ("town", "road", "county", "state", "country")})
+    points = spark.range(100_000).select("id", (-150 + F.rand(1) * 40).alias("longitude"), (-30 + F.rand(2) * 50).alias("latitude"))
+    got = geo.nearest_places(points, places)
+    rows = got.collect()
+    assert len(rows) == 100_000 and min(r.distance_km for r in rows) > 5000
+    assert max(_numbers(got, "Join|Generate")) < 140 * 100_000  # the top cells; all pairs would be 2000 million
+    some = rows[::5000]
+    all_places = [(r.longitude, r.latitude) for r in places.collect()]
+    for r in some:
+        want = min(_km(r.longitude, r.latitude, lo, la) for lo, la in all_places)
+        assert abs(r.distance_km - want) < 1e-6
+
+
+def _km(lo1, la1, lo2, la2):
+    p, q = math.radians(la1), math.radians(la2)
+    a = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(lo2 - lo1) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, a)))
+
+
 def test_keys_that_read_alike_draw_apart(spark):
     rows = [("A", None), (None, "A"), ("a|b", "c"), ("a", "b|c"), ("", None), (None, None), ("n", None), ("1:n", None)]
     df = spark.createDataFrame(rows, "x string, y string")
