@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adpulse.functions.scalars import remaining_days
+from adpulse.operators.skew import PER_TASK, balanced_join, heavy_keys
 
 MART_COLUMNS = [
     "campaign_id", "company_name", "state", "cpa_target", "campaign_budget",
@@ -57,10 +58,15 @@ def job_daily(jobs: DataFrame, clicks: DataFrame, match_state: bool = False) ->
     campaign of the company sees the same days - so the window runs here,
     before any fan-out, partitioned by job (at most one row per day).
     """
+    return placed_days(clicks_daily(clicks), jobs, match_state)
+
+
+def placed_days(daily: DataFrame, jobs: DataFrame, match_state: bool = False) -> DataFrame:
+    """``job_daily`` from the daily sums of ``clicks_daily``."""
     job_cols = ["job_id", "title", "city", "company_name"] + (["state"] if match_state else [])
     w = (Window.partitionBy("job_id").orderBy("date")
          .rowsBetween(Window.unboundedPreceding, -1))
-    return (clicks_daily(clicks).join(jobs.select(*job_cols), "job_id")
+    return (daily.join(jobs.select(*job_cols), "job_id")
             .withColumn("spend_until_yesterday_sum", F.sum("spend_sum").over(w)))
 
 
@@ -110,13 +116,26 @@ def performance_mart(campaigns: DataFrame, jobs: DataFrame, clicks: DataFrame,
     All aggregation happens on job-day rows; the campaign fan-out is the last
     join.  With ``materialize`` (the monthly run asks for it) the job-day table
     is written once to the shared folder and read back, so the clicks are
-    scanned and aggregated once although the table feeds both the day totals
-    and the rows; otherwise the plan stays lazy.
+    scanned and aggregated once although the table feeds the day totals, the
+    rows and the count of heavy companies, whose fan-out is then salted;
+    otherwise the plan stays lazy and leaves skew to the run-time skew join.
     """
-    keys = _keys(match_state)
     jd = _materialize(job_daily(jobs, clicks, match_state), materialize)
-    rows = (jd.join(day_totals(jd, match_state), keys + ["date"])
-            .join(_campaign_cols(campaigns), keys))
+    return mart_rows(jd, campaigns, match_state, balanced=materialize)
+
+
+def mart_rows(jd: DataFrame, campaigns: DataFrame, match_state: bool = False, balanced: bool = False,
+              per_task: int = PER_TASK) -> DataFrame:
+    """The mart from ``job_daily`` rows.  ``balanced`` (``jd`` should be stored, as it is
+    counted first) salts the keys whose fan-out is too much for one task."""
+    keys = _keys(match_state)
+    rows = jd.join(day_totals(jd, match_state), keys + ["date"])
+    if balanced:
+        # The totals add columns, not rows, so the stored days count for them.
+        heavy = F.broadcast(heavy_keys(jd, campaigns, keys, per_task))
+        rows = balanced_join(rows, _campaign_cols(campaigns), keys, ["job_id", "date"], heavy=heavy)
+    else:
+        rows = rows.join(_campaign_cols(campaigns), keys)
 
     spend = F.col("spend_sum").cast("double")
     budget_per_job = (F.col("campaign_budget").cast("double")

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adpulse import fixtures as fx
+from adpulse.operators import mart_delta as delta
 from adpulse.operators import performance as perf
 from adpulse.plans.catalog import register
 from adpulse.sources import readers, sinks
 
 # The mart stated from its formulas: totals of a job's day, shares of a firm's
 # day, and the running spend of a job, before any campaign is looked at.
-def _placed(wide: bool = False) -> str:
+def _placed(wide: bool = False, hot: bool = False) -> str:
+    jobs = fx.jobs_from_parts_sql(wide)
+    if hot:
+        jobs = (f"SELECT * REPLACE (CASE WHEN job_id % 3 = 0 THEN (SELECT min(company_name) FROM ({jobs})) "
+                f"ELSE company_name END AS company_name) FROM ({jobs})")
     return f"""
 paid AS (SELECT job_id, date, sum(cost) AS money, count(*) AS n, sum(is_applicant) AS hired
          FROM ({fx.lineitem_as_clicks_sql()}) GROUP BY job_id, date),
@@ -20,7 +25,7 @@ placed AS (
            sum(p.money) OVER (PARTITION BY p.job_id ORDER BY p.date
                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS money_before,
            sum(p.money) OVER firm_day AS firm_money, count(*) OVER firm_day AS firm_jobs
-    FROM ({fx.jobs_from_parts_sql(wide)}) j JOIN paid p USING (job_id)
+    FROM ({jobs}) j JOIN paid p USING (job_id)
     WINDOW firm_day AS (PARTITION BY j.company_name, p.date)),
 owned AS (SELECT k.*, placed.* EXCLUDE (firm)
           FROM placed JOIN ({fx.campaigns_from_parts_sql(wide)}) k ON k.company_name = placed.firm)"""
@@ -29,9 +34,9 @@ owned AS (SELECT k.*, placed.* EXCLUDE (firm)
 _PLACED = _placed()
 
 
-def _mart_sql(wide: bool = False) -> str:
+def _mart_sql(wide: bool = False, hot: bool = False) -> str:
     return f"""
-WITH {_placed(wide)},
+WITH {_placed(wide, hot)},
 shares AS (
     SELECT *, CAST(money AS DOUBLE) AS spend, CAST(firm_money AS DOUBLE) AS total_spend,
            CAST(money_before AS DOUBLE) AS spend_until_yesterday, CAST(budget AS DOUBLE) / firm_jobs AS budget_per_job,
@@ -71,6 +76,28 @@ def performance_mart_wide(spark, sf_dir):
     return perf.performance_mart(*_inputs(spark, sf_dir, wide=True))
 
 
+@register("performance_mart_hot", _mart_sql(hot=True))
+def performance_mart_hot(spark, sf_dir):
+    """C8 with a third of all jobs at one company, whose fan-out is salted."""
+    campaigns, jobs, clicks = _inputs(spark, sf_dir)
+    hot = F.when(F.col("job_id") % 3 == 0, jobs.agg(F.min("company_name")).scalar()).otherwise(F.col("company_name"))
+    return perf.performance_mart(campaigns, jobs.withColumn("company_name", hot), clicks, materialize=True)
+
+
+@register("performance_mart_incremental", MART_SQL)
+def performance_mart_incremental(spark, sf_dir):
+    """C8 and S8 kept up to date: a first load with clicks missing, wrong and to be
+    removed, then a batch of changes; the result is that of a rebuild over the final clicks."""
+    campaigns, jobs, clicks = _inputs(spark, sf_dir)
+    base = sinks.scratch_path(spark, "incremental-mart")
+    part = F.pmod("job_id", F.lit(50))
+    wrong = clicks.filter(part == 1).withColumn("cost", (F.col("cost") + 1).cast(dict(clicks.dtypes)["cost"]))
+    strays = clicks.filter(part == 2).withColumn("date", F.date_add("date", 3))
+    delta.refresh_mart(campaigns, jobs, base, 0, clicks.filter(part > 1).unionByName(wrong).unionByName(strays))
+    delta.refresh_mart(campaigns, jobs, base, 1, clicks.filter(part <= 1), wrong.unionByName(strays))
+    return delta.read_mart(spark, base, perf.MART_COLUMNS)
+
+
 @register("clicks_agg", f"""
 WITH {_PLACED}
 SELECT date, campaign_id, job_id, company_name, state, title, city, cpa_target, n AS clicks,

@@ -1,7 +1,13 @@
 import datetime as dt
 from decimal import Decimal
 
-from adpulse.operators.performance import MART_COLUMNS, performance_mart
+import pytest
+from pyspark.sql import functions as F
+
+from adpulse.operators import mart_delta as delta
+from adpulse.operators.performance import MART_COLUMNS, job_daily, mart_rows, performance_mart
+from adpulse.operators.skew import balanced_join, heavy_keys
+from adpulse.sources import sinks
 
 D = dt.date
 
@@ -51,3 +57,68 @@ def test_materialized_and_recomputed_paths_agree(spark):
         a = performance_mart(*_frames(spark), match_state=match_state, materialize=True).collect()
         b = performance_mart(*_frames(spark), match_state=match_state, materialize=False).collect()
         assert sorted(a) == sorted(b) and a
+
+
+def test_incremental_mart_equals_a_rebuild_and_rewrites_only_what_changed(spark):
+    campaigns, jobs, clicks = _frames(spark)
+    schema = clicks.schema
+    base = sinks.scratch_path(spark, "delta")
+    first = spark.createDataFrame([("j1", D(2025, 8, d), Decimal("2.00"), d % 2) for d in (1, 5, 9)]
+                                  + [("j2", D(2025, 8, d), Decimal("1.00"), 0) for d in (2, 5, 8)], schema)
+    assert delta.refresh_mart(campaigns, jobs, base, 0, first) == [D(2025, 8, d) for d in (1, 2, 5, 8, 9)]
+
+    def same(now):
+        got = sorted(delta.read_mart(spark, base, MART_COLUMNS).collect())
+        assert got == sorted(performance_mart(campaigns, jobs, now).collect()) and got
+
+    def written():
+        return {f.split("date=")[1][:10]: f for f in spark.read.parquet(f"{base}/performance").inputFiles()}
+    same(first)
+    before = written()
+    # A late click of j2 on the 3rd, a corrected one on the 5th, the only one of the 8th removed.
+    added = spark.createDataFrame([("j2", D(2025, 8, 3), Decimal("4.00"), 1), ("j2", D(2025, 8, 5), Decimal("7.00"), 0)], schema)
+    removed = spark.createDataFrame([("j2", D(2025, 8, 5), Decimal("1.00"), 0), ("j2", D(2025, 8, 8), Decimal("1.00"), 0)], schema)
+    now = first.unionByName(added).exceptAll(removed)
+    for _ in range(2):  # a batch taken again changes nothing
+        assert delta.refresh_mart(campaigns, jobs, base, 1, added, removed) == [D(2025, 8, d) for d in (3, 5, 8)]
+        same(now)
+    after = written()
+    assert set(after) == {"2025-08-01", "2025-08-02", "2025-08-03", "2025-08-05", "2025-08-09"}
+    assert {d for d in before if after.get(d) == before[d]} == {"2025-08-01", "2025-08-02", "2025-08-09"}
+    # Nothing new: nothing is touched.
+    none = spark.createDataFrame([], schema)
+    assert delta.refresh_mart(campaigns, jobs, base, 2, none) == []
+    assert written() == after
+
+
+@pytest.mark.parametrize("match_state", [False, True])
+def test_balanced_mart_equals_the_plain_one(spark, match_state):
+    campaigns, jobs, clicks = _frames(spark)
+    jd = job_daily(jobs, clicks, match_state)
+    plain = mart_rows(jd, campaigns, match_state)
+    assert sorted(mart_rows(jd, campaigns, match_state, balanced=True, per_task=1).collect()) == sorted(plain.collect())
+
+
+def test_a_hot_key_is_spread_without_the_run_time_skew_join(spark):
+    n = 30_000
+    left = spark.range(n).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).cast("int").alias("k"))
+    left = sinks.materialize(left.withColumn("k", F.when(F.col("k") == 7, None).otherwise(F.col("k"))), "left")
+    right = sinks.materialize(spark.range(2000).select((F.col("id") % 500).cast("int").alias("k"), F.col("id").alias("r")), "right")
+    conf = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sizes = {}
+        for name, df in (("plain", left.join(right, ["k"])), ("balanced", balanced_join(left, right, ["k"], ["id"], per_task=500))):
+            per = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            sizes[name] = sorted(r["count"] for r in per)
+            assert sum(sizes[name]) == left.filter("k is not null").count() * 4
+        assert sizes["plain"][-1] > 3 * sizes["plain"][len(sizes["plain"]) // 2]
+        assert sizes["balanced"][-1] <= 3 * sizes["balanced"][len(sizes["balanced"]) // 2]
+        heavy = heavy_keys(left, right, ["k"], per_task=500).collect()
+        assert [r.k for r in heavy] == [0] and heavy[0].salts >= 80
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
