@@ -39,6 +39,13 @@ def parts_for(rows: int, per_task: int = ROWS_PER_TASK) -> int:
     return max(1, -(-rows // per_task))
 
 
+def numbered(docs: DataFrame, row: str) -> DataFrame:
+    """``docs`` stored once with a number for each row in ``row``.  All that follows must read this
+    table: a number that a second scan gives is another one when files are split otherwise, as
+    happens when executors join or leave."""
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """``names``, each lengthened until no column of ``df`` has it."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import SPACE, parts_for, stored, text_or_empty, unused
+from adpulse.llm.common import SPACE, numbered, parts_for, stored, text_or_empty, unused
 
 _SLOTS = 4
 _KICKS = 200
@@ -190,17 +190,17 @@ def text_digest(text):
     return F.sha2(F.regexp_replace(text, SPACE, " "), 256)
 
 
-def exact_dedup(docs: DataFrame, withdrawn: DataFrame | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, withdrawn: DataFrame | None = None, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``row_id, doc_id, keep_id, group_size,
     kept, text_sha256``.
 
-    ``row_id`` is the row's ``monotonically_increasing_id``, so ``docs`` should
-    be read from a stored table if rows are to be found by it.  ``withdrawn``
+    ``row_id`` is the column ``row`` of a ``numbered`` table, or else a number that
+    only this result knows.  ``withdrawn``
     (column ``text_sha256``) names texts that are deleted from the index: their
     rows come back with ``kept`` false and no ``keep_id``.
     """
     rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                              F.monotonically_increasing_id().alias("row_id"),
+                              (F.col(row) if row else F.monotonically_increasing_id()).alias("row_id"),
                               text_digest(text_or_empty()).alias("digest")), "digests")
     events = rows.mapInArrow(_merge_batches, _EVENT)
     if withdrawn is not None:
@@ -219,6 +219,6 @@ def exact_dedup(docs: DataFrame, withdrawn: DataFrame | None = None) -> DataFram
 def keep_first_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without later copies, all columns kept."""
     row, = unused(docs, "__row")
-    marked = docs.withColumn(row, F.monotonically_increasing_id())
-    kept = exact_dedup(docs).filter("kept").select(F.col("row_id").alias(row))
+    marked = numbered(docs, row)
+    kept = exact_dedup(marked, row=row).filter("kept").select(F.col("row_id").alias(row))
     return marked.join(kept, row, "left_semi").drop(row)

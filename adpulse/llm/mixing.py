@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import n_words, stored, text_or_empty, unused
+from adpulse.llm.common import n_words, numbered, stored, text_or_empty, unused
 
 MAX_REPEATS = 3
 SEED = "mix"
@@ -86,10 +86,11 @@ def _size_class(size: Column) -> Column:
     return (F.greatest(bits - F.lit(4), F.lit(0)) * 8 + top).cast("int")
 
 
-def systematic_copies(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """``row_id, doc_id, size, source, source_size, target, copies`` of every row."""
+def systematic_copies(docs: DataFrame, max_repeats: int = MAX_REPEATS, row: str | None = None) -> DataFrame:
+    """``row_id, doc_id, size, source, source_size, target, copies`` of every row; ``row_id`` is
+    the column ``row`` of a ``numbered`` table, or else a number that only this result knows."""
     text = text_or_empty()
-    rows = stored(docs.select(F.monotonically_increasing_id().alias("row_id"),
+    rows = stored(docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row_id"),
                               F.col("doc_id").cast("long").alias("doc_id"),
                               F.col("source").cast("string").alias("source"),
                               n_words(text).alias("size")), "sizes")
@@ -146,8 +147,8 @@ def systematic_copies(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
 def mix(docs: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The mixed corpus: rows of ``docs``, each as often as it is taken."""
     row, copies, copy = unused(docs, "__row", "__copies", "__copy")
-    marked = docs.withColumn(row, F.monotonically_increasing_id())
-    taken = (systematic_copies(docs, max_repeats).filter(F.col("copies") > 0)
+    marked = numbered(docs, row)
+    taken = (systematic_copies(marked, max_repeats, row).filter(F.col("copies") > 0)
              .select(F.col("row_id").alias(row), F.col("copies").alias(copies)))
     return (marked.join(taken, row)
             .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))

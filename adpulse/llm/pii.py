@@ -19,8 +19,8 @@ prefix sums of both arrays' lengths, taken by a window inside one document.
 Patterns are written with possessive quantifiers and start at the beginning of
 a run, so a match neither backtracks nor recurses however long the text is.
 
-Null texts count as empty, rows are told apart by their place in the table
-(``docs`` should be read from a stored one), so repeated and null ids are fine.
+Null texts count as empty.  Rows are numbered and stored once (``rows_of``), and all
+scans read that table, so repeated and null ids are fine.
 Documents without spans have counts 0 and an empty list.  Empty tables give
 empty results.  Only ``doc_id`` and ``text`` are read.
 """
@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import SPACE, WORD, stored, text_or_empty
+from adpulse.llm.common import SPACE, WORD, numbered, stored, text_or_empty
 
 CONTEXT = 80
 SUPPORT = 3
@@ -97,10 +97,14 @@ def _matches(pieces: Column, number: int, kind: str) -> Column:
     return F.transform(F.filter(pieces, lambda p: p["value"].isNotNull()), match).cast(_MATCH)
 
 
-def base_spans(docs: DataFrame) -> DataFrame:
+def rows_of(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, row_id`` of every row, stored."""
+    return numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), "row_id")
+
+
+def base_spans(rows: DataFrame) -> DataFrame:
     """``row_id, text_hash, number, kind, start, end, value, before, after`` of every valid match."""
     text = F.col("text")
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), text_or_empty().alias("text"))
     pieces = rows.select("row_id", F.xxhash64("text").alias("text_hash"), *(_pieces(text, k).alias(k) for k in KINDS))
     found = pieces.select("row_id", "text_hash", *(_matches(F.col(k), n, k).alias(k) for n, k in enumerate(KINDS)))
     nothing = F.array().cast(_MATCH)
@@ -113,12 +117,16 @@ def base_spans(docs: DataFrame) -> DataFrame:
             .select("row_id", "text_hash", "number", "kind", "start", "end", "value", "before", "after"))
 
 
-_TERM = r"^[\p{P}\p{S}]*+(\p{L}{2,}+)[\p{P}\p{S}]*+$"
+#: Letters, marks and digits, with single hyphens, apostrophes, dots or underlines between them.
+_SIGNS = r"[\p{L}\p{M}\p{N}]++"
+_TERM = rf"^[\p{{P}}\p{{S}}]*+({_SIGNS}(?:[-'\u2019._]{_SIGNS})*+)[\p{{P}}\p{{S}}]*+$"
 
 
 def _term(word: Column) -> Column:
-    """A lower-case word's letters without punctuation around them; empty if it is anything else."""
-    return F.regexp_extract(word, _TERM, 1)
+    """A lower-case word without the punctuation around it ("jsmith42", "acct-10023", "o'brien"); empty
+    if something else is inside (a slash, an at sign) or only one character is left."""
+    found = F.regexp_extract(word, _TERM, 1)
+    return F.when(F.length(found) > 1, found).otherwise("")
 
 
 def _terms(text: Column) -> Column:
@@ -126,14 +134,13 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.split(F.lower(text), SPACE), _term))
 
 
-def _term_rows(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def _term_rows(rows: DataFrame, terms: DataFrame) -> DataFrame:
     """``row_id`` and the columns of ``terms`` for every row that has one of them.
     The stored table's size decides whether it is sent to the rows or both are dealt out by term."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), text_or_empty().alias("text"))
     return rows.select("row_id", F.explode(_terms(F.col("text"))).alias("term")).join(terms, "term")
 
 
-def disclosing_terms(docs: DataFrame, spans: DataFrame) -> DataFrame:
+def disclosing_terms(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """``term, action`` of the terms to generalise or remove."""
     entity = spans.select("row_id", "text_hash", F.concat_ws(":", "kind", F.lower("value")).alias("entity"),
                           "before", "after")
@@ -149,8 +156,8 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame) -> DataFrame:
     per_entity = entity.select("entity", "row_id").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     pairs = stored(together.join(per_entity, "entity"), "pairs")
     looked_at = stored(pairs.select("term").distinct(), "terms")
-    per_term = _term_rows(docs, looked_at).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
+    per_term = _term_rows(rows, looked_at).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    n = rows.agg(F.count(F.lit(1)).alias("n"))
     content = F.log(F.col("n") / F.col("n_e"))
     shared = F.log(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
     disclosed = (pairs.join(per_term, "term").crossJoin(F.broadcast(n))  # one row
@@ -159,24 +166,26 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame) -> DataFrame:
             .select("term", F.when(F.col("share") >= REMOVE, "removed").otherwise("generalised").alias("action")))
 
 
-def term_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``row_id, number, kind, start, end`` of every occurrence of a disclosing term."""
-    actions = stored(disclosing_terms(docs, spans), "actions")
-    wanted = stored(_term_rows(docs, actions).groupBy("row_id").agg(
+def term_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """``row_id, number, kind, start, end`` of every occurrence of a disclosing term outside the base ``spans``."""
+    actions = stored(disclosing_terms(rows, spans), "actions")
+    wanted = stored(_term_rows(rows, actions).groupBy("row_id").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions")), "wanted")
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), text_or_empty().alias("text"))
     words = (rows.join(wanted, "row_id")
              .select("row_id", "actions", F.posexplode(F.regexp_extract_all(
                  "text", F.lit(f"{SPACE}|{WORD}"), F.lit(0))).alias("i", "word")))
     upto = Window.partitionBy("row_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     words = words.withColumn("upto", F.sum(F.length("word")).over(upto).cast("long"))
     term = _term(F.lower("word"))
-    # Punctuation before the letters is not part of the span.
+    # Punctuation before the term is not part of the span.
     lead = F.length(F.regexp_extract("word", r"^[\p{P}\p{S}]*+", 0))
-    return (words.withColumn("kind", F.try_element_at("actions", term)).filter("kind is not null")
+    found = (words.withColumn("kind", F.try_element_at("actions", term)).filter("kind is not null")
             .withColumn("start", F.col("upto") - F.length("word") + lead)
             .select("row_id", F.lit(len(KINDS)).alias("number"), "kind", "start",
                     (F.col("start") + F.length(term)).alias("end")))
+    taken = spans.groupBy("row_id").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
+    inside = F.exists("taken", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"]))
+    return found.join(taken, "row_id", "left").filter(~F.coalesce(inside, F.lit(False))).drop("taken")
 
 
 def _listed(spans: Column) -> Column:
@@ -187,16 +196,16 @@ def _listed(spans: Column) -> Column:
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` of every row."""
-    base = stored(base_spans(docs), "base")
-    terms = term_spans(docs, base)
+    rows = rows_of(docs)
+    base = stored(base_spans(rows), "base")
+    terms = stored(term_spans(rows, base), "term-spans")
     place = F.struct("start", "number", "kind", "end")
     every = base.select("row_id", "number", "kind", "start", "end").unionByName(terms)
     per_row = every.groupBy("row_id").agg(
         *(F.count(F.when(F.col("number") == i, 1)).alias(f"n_{k}") for i, k in enumerate(KINDS)),
         _listed(F.collect_list(F.when(F.col("number") < len(KINDS), place))).alias("base"),
         _listed(F.collect_list(place)).alias("spans"))
-    ids = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"))
-    return ids.join(per_row, "row_id", "left").select(
+    return rows.select("row_id", "doc_id").join(per_row, "row_id", "left").select(
         "doc_id", *(F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"))
@@ -205,8 +214,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
 def sanitised(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` with every span blacked out: base values as ``[kind]``,
     generalised terms as ``[term]``, removed terms as nothing."""
-    base = stored(base_spans(docs), "base")
-    every = stored(base.select("row_id", "number", "kind", "start", "end").unionByName(term_spans(docs, base)), "spans")
+    rows = rows_of(docs)
+    base = stored(base_spans(rows), "base")
+    every = stored(base.select("row_id", "number", "kind", "start", "end").unionByName(term_spans(rows, base)), "spans")
     # Overlapping spans are one, named after the first.
     before = Window.partitionBy("row_id").orderBy("start", "number")
     reach = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
@@ -219,8 +229,6 @@ def sanitised(docs: DataFrame) -> DataFrame:
             .otherwise(F.concat(F.lit("["), F.col("kind"), F.lit("]"))))
     cuts = merged.withColumn("from", last).groupBy("row_id").agg(
         F.sort_array(F.collect_list(F.struct("start", "from", "end", mark.alias("mark")))).alias("cuts"))
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"),
-                       text_or_empty().alias("text"))
     pieces = F.array_join(F.transform("cuts", lambda c: F.concat(
         F.substring(F.col("text"), (c["from"] + 1).cast("int"), (c["start"] - c["from"]).cast("int")), c["mark"])), "")
     rest = F.substring(F.col("text"), (F.element_at("cuts", -1)["end"] + 1).cast("int"), F.length("text"))

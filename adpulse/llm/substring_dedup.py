@@ -28,8 +28,11 @@ the same columns, so they share the exchange.
 Null texts have no words; a null ``doc_id`` is smaller than none and loses
 nothing.  Rows with one id do not count as earlier for each other.  Texts of
 fewer than ``window`` words stay whole.  Empty tables give empty results.  Only
-``doc_id`` and ``text`` are read (``docs`` should be read from a stored table:
-rows are known by their place in it).
+``doc_id`` and ``text`` are read.
+
+Rows are known by a hash of id and text, which every scan computes alike; rows that
+share both have the same result.  Should two rows share the hash alone, the anchors of
+one are looked at in the other as well, and all decisions also ask for the same id.
 """
 
 from __future__ import annotations
@@ -154,7 +157,8 @@ def _windows(window: int, seed: int):
                                                 words.first[:-1], words.first[1:], strict=True):
                     h = words.hash[a:b]
                     hit = np.zeros(b - a, bool)
-                    hit[np.array(hits, np.int64)] = True
+                    hits = np.array(hits, np.int64)
+                    hit[hits[hits < len(hit)]] = True
                     start = np.flatnonzero(hit[_chosen(h, window, seed)])
                     out.append((grams(h, window)[start].view(np.int64), np.full(len(start), row),
                                 np.full(len(start), doc), start.astype(np.int32)))
@@ -193,14 +197,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED_WORDS
     """``doc_id, n_words, n_removed, kept_sha256, kept`` (the words left, joined by a space)."""
     if not 1 <= seed <= window:
         raise ValueError("seed must be between 1 and window")
-    texts = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"),
-                        F.col("text").cast("string").alias("text"))
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    texts = docs.select(F.xxhash64(doc_id, text).alias("row_id"), doc_id.alias("doc_id"), text.alias("text"))
     words = F.trim(F.regexp_replace(text_or_empty(), SPACE, " "))
     same = stored(texts.select("row_id", "doc_id", F.sha2(words, 256).alias("words")), "words")
     smallest = same.groupBy("words").agg(F.min("doc_id").alias("smallest"))
-    copies = stored(same.join(smallest, "words").filter("smallest < doc_id").select("row_id"), "copies")
+    copies = stored(same.join(smallest, "words").filter("smallest < doc_id")
+                    .select("row_id", F.col("doc_id").alias("of")).distinct(), "copies")
+
+    def same_id(other: DataFrame):
+        # As a difference, so that texts are dealt out by row_id alone and all joins share that.
+        return (texts["row_id"] == other["row_id"]) & (texts["doc_id"] - other["of"] == 0)
     # The stored table's size decides whether it is sent to the texts or these are dealt out.
-    first_copies = texts.join(copies, "row_id", "left_anti").select("row_id", "doc_id", "text")
+    first_copies = texts.join(copies, same_id(copies), "left_anti").select("row_id", "doc_id", "text")
     bits = 32 + max(10, (parts_for(same.count() * _ANCHORS_PER_TEXT, _HELD_KEYS) - 1).bit_length())
     seeds = (first_copies.mapInArrow(_packed_keys(window, seed, bits), "bucket long, once binary, more binary")
              .repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_repeated_keys, "anchor long"))
@@ -210,8 +219,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED_WORDS
                 .mapInArrow(_windows(window, seed), "passage long, row_id long, doc_id long, start int"))
     first = passages.groupBy("passage").agg(F.min("doc_id").alias("first"))
     covered = (passages.join(first, "passage").filter("first < doc_id")
-               .groupBy("row_id").agg(F.collect_list("start").alias("starts")))
+               .groupBy("row_id", F.col("doc_id").alias("of")).agg(F.collect_list("start").alias("starts")))
     fate = covered.unionByName(copies.withColumn("starts", F.lit(None).cast("array<int>")))
-    return (texts.join(fate.withColumn("copy", F.col("starts").isNull()), "row_id", "left")
+    fate = fate.withColumn("copy", F.col("starts").isNull())
+    return (texts.join(fate, same_id(fate), "left")
             .select("doc_id", "text", "copy", "starts")
             .mapInArrow(_removed(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"))

@@ -13,7 +13,7 @@ from adpulse.llm import ann, html_extract, langid, near_dedup, packing
 from adpulse.llm.exact_dedup import CuckooFilter, DigestIndex, exact_dedup, keep_first_copies
 from adpulse.llm.html_extract import extract, main_text
 from adpulse.llm.mixing import mix, source_targets, systematic_copies
-from adpulse.llm.pii import disclosing_terms, base_spans, personal_data, sanitised
+from adpulse.llm.pii import base_spans, disclosing_terms, personal_data, rows_of, sanitised
 from adpulse.llm.sharding import assign_shards
 from adpulse.llm.substring_dedup import remove_repeats
 from adpulse.llm.wordhash import Words
@@ -576,8 +576,48 @@ def secret(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
+def _disclosing(docs):
+    rows = rows_of(docs)
+    return disclosing_terms(rows, base_spans(rows))
+
+
+def test_terms_with_digits_and_inner_marks(spark):
+    names = ["jsmith42", "acct-10023", "o'brien", "smith-jones", "व्यक्ति", "x_1.y"]
+    rows = [(10 * n + i, f"{words(3, 40 * n + i)} ({name}, of e{n}@corp.example / {n + 1}.2.3.4 {words(4, 900 + 40 * n + i)}")
+            for n, name in enumerate(names) for i in range(4)]
+    rows += [(500 + i, words(8, 5000 + i)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert set(names) <= {r.term for r in _disclosing(docs).collect()}
+    spans = {r.doc_id: r.spans for r in personal_data(docs).collect()}
+    for n, name in enumerate(names):
+        text = rows[4 * n][1]
+        at = text.index(name)
+        found = spans[10 * n].split(",")
+        assert any(s.endswith(f":{at}:{at + len(name)}") for s in found)
+        # The other value beside it is a base span and nothing else.
+        ip = text.index(f"{n + 1}.2.3.4")
+        assert [s for s in found if int(s.split(":")[1]) < ip + 7 and int(s.split(":")[2]) > ip] == [f"ip:{ip}:{ip + 7}"]
+
+
+@pytest.mark.parametrize("operator", [
+    keep_first_copies, mix, personal_data, sanitised, lambda d: remove_repeats(d).drop("kept"), exact_dedup, systematic_copies])
+def test_rows_keep_their_identity_when_files_are_split_otherwise(spark, docs, tmp_path, operator):
+    docs.repartition(6).write.parquet(path := str(tmp_path / "d.parquet"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    number = {"row_id"} if operator in (exact_dedup, systematic_copies) else set()
+
+    def result(between):
+        found = operator(spark.read.parquet(path))
+        try:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", between)
+            return sorted((str([r[c] for c in found.columns if c not in number]) for r in found.collect()))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert result(old) == result("9000") == result("100m")
+
+
 def test_terms_that_disclose_an_entity(secret):
-    actions = disclosing_terms(secret, base_spans(secret))
+    actions = _disclosing(secret)
     found = {r.term: r.action for r in actions.collect()}
     assert found.get("zanzibar") in ("generalised", "removed")
     # Common words say little, and copies of one text are one piece of evidence.
@@ -613,7 +653,7 @@ def test_terms_beside_a_number_or_a_second_address(spark, tmp_path):
     path = str(tmp_path / "d.parquet")
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
     rows = spark.read.parquet(path)
-    assert {"zanzibar", "quagga"} <= {r.term for r in disclosing_terms(rows, base_spans(rows)).collect()}
+    assert {"zanzibar", "quagga"} <= {r.term for r in _disclosing(rows).collect()}
 
 
 # ------------------------------------------------------------ empty tables
