@@ -16,12 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from adpulse.llm.common import stored
 from adpulse.llm.exact_dedup import keep_first_copies
 from adpulse.llm.langid import keep_identified
 from adpulse.llm.mixing import mix
 from adpulse.llm.near_dedup import keep_one_of_each
 from adpulse.llm.packing import pack
+from adpulse.sources import sinks
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = sinks.scratch_path(spark, f"stage-{name}")
+        with sinks.scratch(spark):  # what a stage stores on its way goes once its result is written
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
+        if before is not None:
+            sinks.delete(spark, before)
+        before = path
     return docs
