@@ -4,17 +4,21 @@ A text becomes the hashed counts of its character n-grams (one to three lower-ca
 letters, with word borders), damped by a logarithm, weighted by inverse
 document frequency and scaled to length one.  Every language has several
 centroids from spherical k-means; a text takes the language of the centroid
-with the largest cosine.  The language's radius is the cosine to its centroids
-that all but ``FARTHEST`` of its training members reach; a text that stays below
-``REJECT`` times that is too far from everything learned and is rejected.
+with the largest cosine.  How near a text of a language comes depends on its
+length, so excerpts of the training sample of every power of two of length give, for
+each language and length, the cosine that all but ``FARTHEST`` of them reach; a text that
+stays below ``REJECT`` times that is too far from everything learned and is rejected.
+Texts shorter than ``2 ** SHORTEST`` characters say too little and are not rejected.
 
 Fitting: document frequencies come from all training rows.  Centroids come from
 a sample of ``SAMPLE`` texts of each language, those with the smallest text
-hash, so a language's task holds at most that many vectors.  What the driver
+hash, so a language's task holds at most that many vectors.  The hashes are first cut
+to a few times as many by the language's approximate number of texts, so no task
+ranks all of a language's.  What the driver
 and the tasks share is one weight per dimension and ``CENTROIDS`` vectors per
 language, whatever the number of rows.
 
-Null texts and texts without a letter get ``und``, score 0, and are rejected.
+Texts of any length are counted in slices of ``SLICE`` characters.  Null texts and texts without a letter get ``und``, score 0, and are rejected.
 Without training rows every text does.  Rows with a null language are not
 learned from but classified.  Repeated rows are classified alike.  Only
 ``doc_id``, ``text`` and, for fitting, ``lang`` are read.
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import functools
 import sys
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,8 +43,11 @@ from adpulse.llm.common import stored, unused
 DIMENSIONS = 1 << 14
 SAMPLE = 1000
 CENTROIDS = 4
-REJECT = 0.2
-FARTHEST = 0.01
+REJECT = 0.9
+FARTHEST = 0.002
+#: Powers of two of lengths with thresholds of their own.
+SHORTEST, LONGEST = 5, 13
+SLICE = 1 << 20
 ROUNDS = 8
 UNKNOWN = "und"
 
@@ -53,17 +61,29 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
     """Hashed n-gram counts of a whole text; None if it has no letter."""
     if not text:
         return None
-    c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    letter = _letters()[c]
-    if not letter.any():
-        return None
-    # Every run of other characters is one border; the text starts and ends with one.
-    keep = letter | np.concatenate(([False], letter[:-1]))
-    c = np.concatenate(([0], np.where(letter, c, 0)[keep], [0])).astype(np.uint64)
+    total, seen, before, after_letter = np.zeros(DIMENSIONS, np.int64), False, np.zeros(1, np.uint32), False
+    for at in range(0, len(text), SLICE):
+        c = np.frombuffer(text[at:at + SLICE].lower().encode("utf-32-le", "replace"), np.uint32)
+        letter = _letters()[c]
+        seen |= bool(letter.any())
+        # Every run of other characters is one border; the text starts and ends with one.
+        keep = letter | np.concatenate(([after_letter], letter[:-1]))
+        after_letter = bool(letter[-1])
+        c = np.where(letter, c, 0)[keep]
+        if at + SLICE >= len(text):
+            c = np.concatenate((c, np.zeros(1, np.uint32)))
+        total += _grams(np.concatenate((before, c)), len(before) if at else 0)
+        before = np.concatenate((before, c))[-2:]
+    return total if seen else None
+
+
+def _grams(c: np.ndarray, known: int) -> np.ndarray:
+    """Hashed counts of the one to three characters that end after the first ``known`` ones."""
+    c = c.astype(np.uint64)
     mixed = c * np.uint64(0x9E3779B97F4A7C15)
     two = (mixed[:-1] ^ (mixed[:-1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + mixed[1:]
     three = (two[:-1] ^ (two[:-1] >> np.uint64(32))) * np.uint64(0x94D049BB133111EB) + mixed[2:]
-    grams = np.concatenate((mixed, two, three))
+    grams = np.concatenate((mixed[known:], two[max(0, known - 1):], three[max(0, known - 2):]))
     grams ^= grams >> np.uint64(31)
     grams *= np.uint64(0xD6E8FEB86659FD93)
     return np.bincount((grams >> np.uint64(40)).astype(np.int64) % DIMENSIONS, minlength=DIMENSIONS)
@@ -92,13 +112,43 @@ def _clustered(idf: np.ndarray):
             near = (x @ centres.T).argmax(axis=1)
             centres = np.stack([_unit(x[near == k].mean(axis=0)) if (near == k).any() else centres[k]
                                 for k in range(len(centres))])
-        cosines = x @ centres.T
-        near = cosines.argmax(axis=1)
-        lowest = float(np.quantile(cosines.max(axis=1), FARTHEST))
-        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [c.tolist() for c in centres], "lowest": lowest})
+        lowest = _lowest(pdf["text"], idf, centres)
+        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [c.tolist() for c in centres], "lowest": [lowest] * len(centres)})
     return run
 
 
+def _band(counts: np.ndarray) -> int:
+    """The power of two of a text's length in letters and borders."""
+    return min(LONGEST, int(counts.sum() // 3).bit_length() - 1)
+
+
+def _lowest(texts: Iterable[str], idf: np.ndarray, centres: np.ndarray) -> list[float]:
+    """For each length the cosine that nearly all excerpts of it reach; never more than that of longer ones."""
+    found: dict[int, list[float]] = {}
+    for i, text in enumerate(texts):
+        for power in range(SHORTEST, LONGEST + 1):
+            size = (1 << power) + (1 << power) // 4  # white space runs are one border
+            if len(text) < size:
+                size = len(text)
+            at = (i * 2654435761 + power) % (len(text) - size + 1)
+            counts = ngram_counts(text[at:at + size])
+            if counts is not None:
+                found.setdefault(_band(counts), []).append(float((centres @ vector(counts, idf)).max()))
+            if size == len(text):
+                break
+    low, least = [0.0] * (LONGEST + 1), 1.0
+    for power in range(LONGEST, -1, -1):
+        if power in found and power >= SHORTEST:
+            least = min(least, float(np.quantile(found[power], FARTHEST)))
+            low[power] = least
+        elif power >= SHORTEST:
+            low[power] = 0.0 if least == 1.0 else least
+    # Lengths beyond the sample's own take the threshold of its longest.
+    for power in range(SHORTEST + 1, LONGEST + 1):
+        low[power] = low[power] or low[power - 1]
+    return low
+
+
 def _document_frequencies(batches):
     total, n = np.zeros(DIMENSIONS, np.int64), 0
     for batch in batches:
@@ -128,7 +178,7 @@ class LanguageModel:
         cosines = self.centroids[:, at] @ weight / np.linalg.norm(weight)
         best = int(cosines.argmax())
         score = min(max(float(cosines[best]), 0.0), 1.0)
-        return self.langs[best], score, score < REJECT * float(self.lowest[best])
+        return self.langs[best], score, score < REJECT * float(self.lowest[best, _band(counts)])
 
 
 def fit(training: DataFrame) -> LanguageModel:
@@ -143,15 +193,19 @@ def fit(training: DataFrame) -> LanguageModel:
     # The sample is found by hashes alone; only its texts are moved, and copies of one text once.
     keyed = rows.withColumn("order", F.xxhash64("text"))
     by_hash = Window.partitionBy("lang").orderBy("order")
-    cut = stored(keyed.select("lang", "order").distinct().withColumn("place", F.row_number().over(by_hash))
+    # Hashes are even over all longs: below this bound lie about four times the sample.
+    bound = (F.least(F.lit(1.0), 4.0 * SAMPLE / F.greatest(F.lit(1), F.approx_count_distinct("order"))) * 2 - 1) * float(1 << 63)
+    bounds = stored(keyed.groupBy("lang").agg(bound.alias("bound")), "bounds")
+    few = keyed.select("lang", "order").join(bounds, "lang").filter(F.col("order").cast("double") <= F.col("bound"))
+    cut = stored(few.select("lang", "order").distinct().withColumn("place", F.row_number().over(by_hash))
                  .filter(F.col("place") <= SAMPLE).groupBy("lang").agg(F.max("order").alias("cut")), "cut")
     sample = (keyed.join(cut, "lang").filter(F.col("order") <= F.col("cut"))
               .groupBy("lang", "order").agg(F.first("text").alias("text")))
-    found = sample.groupBy("lang").applyInPandas(_clustered(idf), "lang string, centroid array<float>, lowest double")
+    found = sample.groupBy("lang").applyInPandas(_clustered(idf), "lang string, centroid array<float>, lowest array<double>")
     learned = stored(found, "centroids").orderBy("lang", "lowest").collect()  # CENTROIDS rows per language
     return LanguageModel(idf, [r["lang"] for r in learned],
                          np.array([r["centroid"] for r in learned], np.float32).reshape(-1, DIMENSIONS),
-                         np.array([r["lowest"] for r in learned]))
+                         np.array([r["lowest"] for r in learned]).reshape(-1, LONGEST + 1))
 
 
 def _predicted(model: LanguageModel, texts):

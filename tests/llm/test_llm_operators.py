@@ -413,6 +413,47 @@ def test_languages_of_awkward_texts(spark, docs):
 
 # ------------------------------------------------------- nearest neighbours
 
+def plain_ngrams(text):
+    """A second, plain version: counts of one to three characters, each run of others than letters one border."""
+    runs = re.split("[^a]+", "".join("a" if c.isalpha() else " " for c in text.lower()))
+    letters = iter(c for c in text.lower() if c.isalpha())
+    line = "\0" + "".join("".join(next(letters) for _ in run) + "\0" for run in runs if run)
+    line += "\0" * (not text[-1].isalpha())  # the end is a border of its own
+    return collections.Counter(line[i:i + n] for n in (1, 2, 3) for i in range(len(line) - n + 1))
+
+
+def test_ngrams_equal_a_plain_version_and_slices_do_not_matter(monkeypatch):
+    text = "  Ünder 12 the--Bridge\n\nвода İx " + words(300, 9).replace("w", "wé") + "end."
+    whole = langid.ngram_counts(text)
+    plain = plain_ngrams(text)
+    assert whole.sum() == sum(plain.values())
+    assert sorted(whole[whole > 0])[-1] >= max(plain.values()) and (whole > 0).sum() <= len(plain)
+    for size in (1, 2, 7, 100):
+        monkeypatch.setattr(langid, "SLICE", size)
+        assert (langid.ngram_counts(text) == whole).all()
+    assert langid.ngram_counts(" 12 \n") is None
+
+
+def test_what_no_learned_language_is_like_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs.filter(~langid.held_out(docs.doc_id)))
+    rng = np.random.default_rng(4)
+    letters = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 800))
+    base64 = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 800))
+    hexadecimal = "".join(rng.choice(list("0123456789abcdef"), 800))
+    italian = ("Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Gli "
+               "uomini e le donne che abitano questa citta sanno che ogni giorno bisogna scegliere quello che conta. ") * 3
+    polish = ("Wszyscy ludzie rodza sie wolni i rowni pod wzgledem swej godnosci i swych praw. Sa oni obdarzeni rozumem i "
+              "sumieniem i powinni postepowac wobec innych w duchu braterstwa. ") * 3
+    finnish = ("Kaikki ihmiset syntyvat vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu jarki ja "
+               "omatunto, ja heidan on toimittava toisiaan kohtaan veljeyden hengessa. ") * 3
+    for text in (letters, base64, hexadecimal, italian, polish, finnish, "\u0432\u0441\u0435 \u043b\u044e\u0434\u0438 " * 30):
+        assert model.predict(text)[2], text[:40]
+    held = docs.filter(langid.held_out(docs.doc_id) & docs.lang.isNotNull()).collect()
+    lost = sum(model.predict(r.text)[2] for r in held)
+    assert lost <= 0.01 * len(held)
+
+
 def brute_nearest(rows, q, k):
     d = sorted((float(np.sqrt(((v - q[1]) ** 2).sum())), i) for i, v in rows if i != q[0] and len(v) == len(q[1]))
     return d[:k]
