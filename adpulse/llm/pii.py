@@ -19,8 +19,9 @@ prefix sums of both arrays' lengths, taken by a window inside one document.
 Patterns are written with possessive quantifiers and start at the beginning of
 a run, so a match neither backtracks nor recurses however long the text is.
 
-Null texts count as empty.  Rows are numbered and stored once (``rows_of``), and all
-scans read that table, so repeated and null ids are fine.
+Null texts count as empty.  Rows are known by two hashes of id and text (``rows_of``),
+which every scan computes alike; rows that repeat both have the same spans, and each
+counts in the frequencies.  Null ids are fine.
 Documents without spans have counts 0 and an empty list.  Empty tables give
 empty results.  Only ``doc_id`` and ``text`` are read.
 """
@@ -30,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adpulse.llm.common import SPACE, WORD, numbered, stored, text_or_empty
+from adpulse.llm.common import SPACE, WORD, stored, text_or_empty
 
 CONTEXT = 80
 SUPPORT = 3
@@ -98,23 +99,26 @@ def _matches(pieces: Column, number: int, kind: str) -> Column:
 
 
 def rows_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, row_id`` of every row, stored."""
-    return numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), "row_id")
+    """``doc_id, text, row_id`` of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return rows.withColumn("row_id", F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64("text", "doc_id").alias("b")))
 
 
 def base_spans(rows: DataFrame) -> DataFrame:
-    """``row_id, text_hash, number, kind, start, end, value, before, after`` of every valid match."""
+    """``row_id, text_hash, number, kind, start, end, value, before, after, copies`` of every valid match;
+    ``copies`` rows share the ``row_id``."""
     text = F.col("text")
     pieces = rows.select("row_id", F.xxhash64("text").alias("text_hash"), *(_pieces(text, k).alias(k) for k in KINDS))
     found = pieces.select("row_id", "text_hash", *(_matches(F.col(k), n, k).alias(k) for n, k in enumerate(KINDS)))
     nothing = F.array().cast(_MATCH)
     kept = [F.when(F.exists(k, lambda m: m["valid"]), F.col(k)).otherwise(nothing) for k in KINDS]
     found = found.select("row_id", "text_hash", F.explode(F.concat(*kept)).alias("m")).select("row_id", "text_hash", "m.*")
+    found = found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("copies"))
     upto = Window.partitionBy("row_id", "number").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(upto).cast("long")
     return (found.withColumn("end", end).filter("valid")
             .withColumn("start", F.col("end") - F.length("value"))
-            .select("row_id", "text_hash", "number", "kind", "start", "end", "value", "before", "after"))
+            .select("row_id", "text_hash", "number", "kind", "start", "end", "value", "before", "after", "copies"))
 
 
 #: Letters, marks and digits, with single hyphens, apostrophes, dots or underlines between them.
@@ -143,17 +147,17 @@ def _term_rows(rows: DataFrame, terms: DataFrame) -> DataFrame:
 def disclosing_terms(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """``term, action`` of the terms to generalise or remove."""
     entity = spans.select("row_id", "text_hash", F.concat_ws(":", "kind", F.lower("value")).alias("entity"),
-                          "before", "after")
+                          "before", "after", "copies")
     # A word that the context's border cuts is left out.
     before = F.when(F.length("before") == CONTEXT, F.regexp_replace("before", "^" + WORD, "")).otherwise(F.col("before"))
     after = F.when(F.length("after") == CONTEXT, F.regexp_replace("after", WORD + "$", "")).otherwise(F.col("after"))
-    near = entity.select("entity", "row_id", "text_hash",
+    near = entity.select("entity", "row_id", "text_hash", "copies",
                          F.explode(_terms(F.concat(before, F.lit(" "), after))).alias("term")).filter("term <> ''")
-    together = (near.groupBy("entity", "term", "row_id").agg(F.first("text_hash").alias("text_hash"))
-                .groupBy("entity", "term", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    together = (near.groupBy("entity", "term", "row_id").agg(F.first("text_hash").alias("text_hash"), F.first("copies").alias("copies"))
+                .groupBy("entity", "term", "text_hash").agg(F.sum("copies").alias("rows"))
                 .groupBy("entity", "term").agg(F.sum("rows").alias("n_et"), F.count(F.lit(1)).alias("texts"))
                 .filter(F.col("texts") >= SUPPORT))
-    per_entity = entity.select("entity", "row_id").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    per_entity = entity.select("entity", "row_id", "copies").distinct().groupBy("entity").agg(F.sum("copies").alias("n_e"))
     pairs = stored(together.join(per_entity, "entity"), "pairs")
     looked_at = stored(pairs.select("term").distinct(), "terms")
     per_term = _term_rows(rows, looked_at).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
@@ -170,8 +174,9 @@ def term_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """``row_id, number, kind, start, end`` of every occurrence of a disclosing term outside the base ``spans``."""
     actions = stored(disclosing_terms(rows, spans), "actions")
     wanted = stored(_term_rows(rows, actions).groupBy("row_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions")), "wanted")
-    words = (rows.join(wanted, "row_id")
+        F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("actions")), "wanted")
+    # One of the rows that share a key.
+    words = (rows.join(wanted, "row_id").groupBy("row_id").agg(F.first("text").alias("text"), F.first("actions").alias("actions"))
              .select("row_id", "actions", F.posexplode(F.regexp_extract_all(
                  "text", F.lit(f"{SPACE}|{WORD}"), F.lit(0))).alias("i", "word")))
     upto = Window.partitionBy("row_id").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
