@@ -25,12 +25,17 @@ worker that is lost cannot change numbers that others already use.
 
 from __future__ import annotations
 
+import array
 import bisect
+import functools
 import re
 import unicodedata
 import zlib
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,8 +49,12 @@ END_ID = 1
 SPARE = 64
 #: Shorter pieces are cut into powers of two.
 SMALL = 64
-#: Words whose ids a worker remembers.
-CACHED_WORDS = 250_000
+#: Bytes of words and ids that a worker remembers, in each of two generations.
+REMEMBERED = 128 << 20
+#: About what one remembered word takes, besides its letters and ids.
+_ENTRY_BYTES = 200
+#: Texts that are tokenised together.
+SLICE_BYTES = 16 << 20
 
 _PLAIN = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)").fullmatch
 
@@ -58,46 +67,26 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + n for n, b in enumerate(others)}
 
 
-class _Remembered(dict):
-    """Two generations of results: when the young one is full it becomes the old
-    one, and what is asked for again moves over, so common words stay."""
-
-    def __init__(self, make, size: int):
-        super().__init__()
-        self.make, self.size, self.old = make, size, {}
-
-    def __missing__(self, name):
-        value = self.old.get(name)
-        if value is None:
-            value = self.make(name)
-        if len(self) >= self.size:
-            self.old = dict(self)
-            self.clear()
-        self[name] = value
-        return value
-
-
 class WordTokenizer:
-    """Ids of a word-level BPE tokenizer as little-endian 32-bit bytes.
+    """Ids of a word-level BPE tokenizer as little-endian 32-bit numbers.
 
     The tokenizer splits at white space before anything else, so a text's ids
-    are those of its words one after the other; words repeat, so the ids of the
-    latest ``CACHED_WORDS`` or more are remembered."""
+    are those of its words one after the other.  The different words of a slice
+    of texts are looked up once and gathered by index; words are remembered in
+    two generations of about ``remembered`` bytes, so common ones stay."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
-        self.words = _Remembered(self._word, CACHED_WORDS)
-        self.pieces = _Remembered(self._piece, CACHED_WORDS)
-
-    @staticmethod
-    def _bytes(ids) -> bytes:
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        self.remembered, self.held = remembered, 0
+        self.known: dict[str, bytes] = {}
+        self.old = self.known
+        self.marks = functools.lru_cache(10_000)(self._piece)
 
     def _piece(self, piece: str) -> bytes:
-        return self._bytes([t.id for t in self.tokenizer.model.tokenize(piece)])
+        return array.array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         """Letters with ASCII marks after them are two pieces; all other words take the tokenizer's own steps."""
@@ -107,18 +96,56 @@ class WordTokenizer:
             letters, marks = plain.groups()
             low = letters.lower()
             if low.isascii():
-                return self.pieces[low] + (self.pieces[marks] if marks else b"")
+                return self._piece(low) + self.marks(marks) if marks else self._piece(low)
             if low.isalpha() and "\u03a3" not in letters and unicodedata.is_normalized("NFC", letters):
                 low = low.encode().decode("latin-1").translate(self.letters)
-                return self.pieces[low] + (self.pieces[marks] if marks else b"")
-        if "<|" in word:
-            return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+                return self._piece(low) + self.marks(marks) if marks else self._piece(low)
         t = self.tokenizer
-        return b"".join([self.pieces[p] for p, _ in
+        if "<|" in word:
+            return array.array("I", t.encode(word, add_special_tokens=False).ids).tobytes()
+        return b"".join([self._piece(p) for p, _ in
                          t.pre_tokenizer.pre_tokenize_str(t.normalizer.normalize_str(word))])
 
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+    def _learn(self, words: list[str]) -> None:
+        if self.held > self.remembered:
+            self.old, self.known, self.held = self.known, {}, 0
+        known, old, held = self.known, self.old, 0
+        for word in words:
+            if word not in known:
+                ids = old.get(word)
+                known[word] = ids = self._word(word) if ids is None else ids
+                held += 4 * len(word) + len(ids) + _ENTRY_BYTES
+        self.held += held
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: none) one after the other, and the bounds of each text's ids among them."""
+        words = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+        coded = words.values.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        self._learn(different)
+        found = list(map(self.known.__getitem__, different))
+        joined = np.frombuffer(b"".join(found), "<u4")
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        at = coded.indices.to_numpy()
+        own = n[at]
+        upto = np.concatenate(([0], np.cumsum(own)))
+        kind = np.int32 if upto[-1] < 1 << 31 else np.int64
+        gather = np.repeat(((np.cumsum(n) - n)[at] - upto[:-1]).astype(kind), own)
+        gather += np.arange(upto[-1], dtype=kind)
+        return joined[gather], upto[words.offsets.to_numpy()]
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``SLICE_BYTES``; a longer text is a run of its own."""
+    sizes = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    begin = held = 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > SLICE_BYTES:
+            yield begin, i
+            begin, held = i, 0
+        held += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
 def slot_classes(capacity: int = CAPACITY) -> list[int]:
@@ -175,16 +202,20 @@ def _pieces_of(tokenizer_file: str, capacity: int):
         names = [f.split()[0] for f in _PIECES.split(", ")]
         for batch in batches:
             cols = [[] for _ in names]
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = tokenizer.ids(text or "") + end
-                n, start = len(ids) // 4, 0
-                for length, k in cut(n, capacity):
-                    number = counts.get(k, 0)
-                    counts[k] = number + 1
-                    crc = zlib.crc32(ids[4 * start:4 * (start + length)])
-                    for col, v in zip(cols, (doc, start, length, crc, n, k, worker, number), strict=True):
-                        col.append(v)
-                    start += length
+            for begin, to in _slices(batch.column("text")):
+                ids, bounds = tokenizer.ids(batch.column("text")[begin:to])
+                ids, bounds = memoryview(ids).cast("B"), bounds.tolist()
+                for doc, first, last in zip(batch.column("doc_id")[begin:to].to_pylist(), bounds, bounds[1:], strict=False):
+                    n, start = last - first + 1, 0
+                    for length, k in cut(n, capacity):
+                        number = counts.get(k, 0)
+                        counts[k] = number + 1
+                        crc = zlib.crc32(ids[4 * (first + start):4 * min(first + start + length, last)])
+                        start += length
+                        if start == n:
+                            crc = zlib.crc32(end, crc)
+                        for col, v in zip(cols, (doc, start - length, length, crc, n, k, worker, number), strict=True):
+                            col.append(v)
             types = {"class": pa.int32(), "worker": pa.int32()}
             yield pa.record_batch([pa.array(c, types.get(n, pa.int64())) for n, c in zip(names, cols, strict=True)],
                                   names=names)

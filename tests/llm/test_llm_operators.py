@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -294,6 +295,29 @@ def test_packing_of_the_corpus(spark):
     assert check_packed(packing.pack(d).collect(), texts_of(d)) < 0.02
 
 
+def test_packing_ids_with_a_small_memory():
+    """Texts by slices, some of which hold one long text; words are forgotten and learned again."""
+    import public_tokenizers
+
+    tokenizer = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"), remembered=2000)
+    rng = np.random.default_rng(9)
+    letters = list("aeßΣİñ的 \n\t\r .,!-'<|>09_\u0301ÀÉ\u00a0")
+    texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(3000)]
+    texts += [None, "", " ", "<|endoftext|> a <|endoftext|>", "x" * 300_000, "word " * 50_000]
+    for part in (texts, texts[:7], texts[-4:], [None], []):
+        ids, bounds = tokenizer.ids(pa.array(part, pa.string()))
+        assert len(bounds) == len(part) + 1
+        for text, a, b in zip(part, bounds, bounds[1:], strict=False):
+            assert ids[a:b].tolist() == tokenizer.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_slices_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_BYTES", 10)
+    texts = ["", "a" * 30, None, "b" * 4, "c" * 4, "d" * 4, ""]
+    assert list(packing._slices(pa.array(texts))) == [(0, 2), (2, 5), (5, 7)]
+    assert list(packing._slices(pa.array([], pa.string()))) == []
+
+
 def test_pieces_fill_their_slots():
     for n in [*range(0, 5000), 123_456]:
         pieces = packing.cut(n)
