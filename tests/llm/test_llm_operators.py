@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -173,7 +174,6 @@ def test_near_duplicates_of_large_linked_groups(spark):
 def test_blocks_of_many_short_sets_take_little_memory():
     import tracemalloc
 
-    import pyarrow as pa
 
     def side(first, n):  # three members in common for every fifty sets, one of their own
         return [{"rep": i, "component": i, "members": [-1 - 3 * (i // 50 % 300), -2 - 3 * (i // 50 % 300), -3 - 3 * (i // 50 % 300), i % 15_000]}
@@ -573,10 +573,76 @@ def test_marked_boxes_are_left_out(box):
     assert main_text(f"<main><article>{BODY}{box}<p>The end of it all comes here.</p></article></main>") == READ + " The end of it all comes here."
 
 
+_LINKS = "".join(f'<li><a href="/x">go {i}</a></li>' for i in range(10))
+_LONG = "lorem " * 60
+
+
+@pytest.mark.parametrize("page", [
+    f'<body><nav><ul>{_LINKS}</ul></nav><article><header class="entry-header"><h1>Head line</h1></header><p>{_LONG}</p>'
+    "<p>The end.</p></article><footer>no</footer></body>",
+    f'<body><div class="post"><div class="post-header"><h2>Head line</h2></div><p>{_LONG}</p><p>The end.</p></div></body>',
+    f'<header><h1>no</h1><nav>no</nav></header><article><header><h1>Head line</h1></header><p>{_LONG}</p>The end.</article>',
+    f"<article><h1>Head line</h1><aside><ul>{_LINKS}</ul></aside><p>{_LONG}</p>The end.</article>",
+    f'<div><h1>Head line</h1><div class="sidebar"><ul>{_LINKS}</ul></div><p>{_LONG}</p><p>The end.</p></div>',
+    f"<div><h1>Head line</h1><form><label>no</label><input><button>no</button></form><p>{_LONG}</p><p>The end.</p></div>",
+    f"<p>no words of this</p><nav><ul>{_LINKS}</ul></nav><div><h1>Head line</h1><p>{_LONG}</p><p>The end.</p></div>",
+    f"<p>no words of this</p><main><h1>Head line</h1><p>{_LONG}</p><p>The end.</p></main><aside>no</aside><p>no more words</p>",
+])
+def test_main_text_keeps_headlines_and_endings(page):
+    assert main_text(page) == " ".join(["Head line", *["lorem"] * 60, "The end."])
+
+
+def test_main_text_goes_on_after_a_list_of_links():
+    got = main_text(f"<article><h1>Head line</h1><p>{_LONG}</p><ul>{_LINKS}</ul><p>Short ending of it all.</p></article>")
+    assert got.startswith("Head line lorem") and got.endswith("go 9 Short ending of it all.")
+
+
+@pytest.mark.parametrize("page", [
+    "<b" * 500_000, "<b" + "x" * 1_000_000, "<a \"'>" * 100_000, "<div>" * 60_000 + "</p></li>" * 60_000, "</ " * 300_000 + ">",
+    "<script>" + "</script " * 100_000, "<article>" + "<header>" * 20_000 + "<h2>a</h2>" * 20_000, "<!--" * 200_000,
+    "<a " + " " * 1_000_000 + ">", "<a " + 'a=" ' * 200_000 + ">", "<a x='\"> " * 100_000])
+def test_odd_markup_takes_linear_time(page):
+    begin = time.process_time()
+    main_text(page)
+    assert time.process_time() - begin < 5
+
+
+def test_tags_end_outside_quotes():
+    rng = np.random.default_rng(6)
+    for _ in range(2000):
+        page = "".join(rng.choice(list("<a >\"'=x/b"), rng.integers(1, 25)))
+        ends = html_extract._tag_ends(page, 0)
+        for at in range(len(page)):
+            closed = html_extract._TO_END.match(page, at)
+            assert ends(at) == (closed.end() if closed else -1)
+
+
+def test_region_is_the_best_of_all_runs():
+    """The scan against every pair of ends, on pages of random markup."""
+    rng = np.random.default_rng(8)
+    scores = html_extract.default_scores()
+    parts = ["<p>", "</p>", "<div>", "</div>", "<li><a href='x'>", "</a></li>", "one two", "three", "<h1>", "</h1>", "<aside>",
+             "</aside>", "<article>", "</article>", "<b>", "</b>", "<section class=menu>", "</section>", "<h3>", "</h3>", "four "]
+    for _ in range(300):
+        page = "".join(rng.choice(parts, rng.integers(1, 30)))
+        found = list(html_extract.tokens(page))
+        places, steps, kept = html_extract._Places(*html_extract._survey(found)), [], []
+        for kind, name, value in found:
+            counts_as = places.read(kind, name, value)
+            steps.append(scores.get(counts_as, html_extract._OTHER_TAG) * (len(value.split()) if kind == "text" else 1))
+            kept.append(len(value.split()) if kind == "text" and counts_as != "word:boilerplate" else 0)
+        sums = {(i, j): sum(steps[i:j]) for i in range(len(steps)) for j in range(i + 1, len(steps) + 1)}
+        best = max([0.0, *sums.values()])
+        n_words = {sum(kept[i:j]) for (i, j), total in sums.items() if abs(total - best) < 1e-9} if best else {0}
+        got = main_text(page)
+        assert min(n_words) <= len(got.replace("</", " ").split()) <= sum(kept)
+        assert bool(got) == (best > 0)
+
+
 def test_only_tags_score_negative():
     scores = html_extract.default_scores()
     assert all(v >= 0 for k, v in scores.items() if k.startswith("word:")) and scores["word:boilerplate"] == 0
-    assert 0 < scores["word:running"] < 8 and scores["tag:nav"] < 0
+    assert 0 < scores["word:running"] < 8 and scores["box"] < 0 and "tag:nav" not in scores
 
 
 def test_extraction_of_given_pages(spark):
