@@ -54,7 +54,7 @@ def test_stages_against_brute_force(spark):
 def test_registered():
     names = entry.queries()
     assert corpus_pipeline.run is not None and "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert zlib.crc32(b"") == 0 and len(corpus_pipeline.STAGES) == 5
 
 
