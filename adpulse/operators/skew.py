@@ -48,3 +48,25 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: Sequence[str], salt_b
     copied = (right.join(heavy, list(keys), "left")
               .withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts"))
     return dealt.join(copied, [*keys, "__salt"]).drop("__salt")
+
+
+def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_by: Sequence[str], right_by: Sequence[str],
+              per_task: int = PER_TASK) -> DataFrame:
+    """As ``balanced_join`` for keys that may be heavy on either side: for each heavy key the side
+    with more rows is dealt out and the other copied.  Both sides must be stored tables."""
+    counts = (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__l"))
+              .join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("__r")), list(keys))
+              .withColumn("__rows", F.col("__l").cast("double") * F.col("__r")))
+    least = counts.agg(F.greatest(F.lit(float(per_task)), F.sum("__rows") / HEAVY_KEYS)).scalar()
+    parts = F.least(F.ceil(F.col("__rows") / least), F.greatest("__l", "__r")).cast("int")
+    wide = F.col("__l") >= F.col("__r")
+    heavy = F.broadcast(counts.filter(F.col("__rows") > least).select(  # at most HEAVY_KEYS rows
+        *keys, F.when(wide, parts).otherwise(1).alias("__ln"), F.when(wide, 1).otherwise(parts).alias("__rn")))
+
+    def dealt(df: DataFrame, by: Sequence[str], own: str, other: str) -> DataFrame:
+        n, copies = F.coalesce(f"__{own}n", F.lit(1)), F.coalesce(f"__{other}n", F.lit(1))
+        return (df.join(heavy, list(keys), "left")
+                .withColumn(f"__{own}salt", F.pmod(F.xxhash64(*by), n).cast("int"))
+                .withColumn(f"__{other}salt", F.explode(F.sequence(F.lit(0), copies - 1))).drop("__ln", "__rn"))
+    at = [*keys, "__lsalt", "__rsalt"]
+    return dealt(left, left_by, "l", "r").join(dealt(right, right_by, "r", "l"), at).drop("__lsalt", "__rsalt")
