@@ -27,4 +27,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # Importing the modules fills the registry.
-    from adpulse.plans import q_ingest, q_mart, q_monthly, q_periods, q_scopes, q_stream, q_synthetic  # noqa: F401
+    from adpulse.plans import q_drift, q_ingest, q_mart, q_monthly, q_periods, q_scopes, q_stream, q_synthetic  # noqa: F401

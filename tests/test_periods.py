@@ -5,9 +5,13 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from adpulse.operators import rescue
 from adpulse.operators.intervals import overlap_join
 from adpulse.operators.skew import grid_join
+from adpulse.schemas import RAW_SCHEMA
+from adpulse.sources import sinks
 
 
 def _pairs(left, right, last):
@@ -75,3 +79,42 @@ def test_grid_join_deals_out_the_larger_side(spark):
     got = grid_join(left, right, ["k"], ["a"], ["b"], per_task=100)
     assert got.columns == ["k", "a", "b"]
     assert Counter(got.collect()) == Counter(want.collect())
+
+
+_LINES = [
+    '{"id":"1","title":"a","latitude":1.5,"created":"2025-01-02T03:04:05Z"}',
+    '{"id":2,"title":{"t":"b"},"remote":true,"it\'s":[1,2.50]}',
+    '{"id":"3","created":"soon","title":null,"salary_min":null,"ID":"other","none":null}',
+    '{"id":"4","title":["x"],"title":"last","more":1,"more":"two"}',
+    '{"id":"5"', '[1]', '7', '', '   ', '{}',
+]
+
+
+def test_rescued_fields(spark):
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(_LINES)] + [(99, None)], "place int, value string")
+    good, broken = rescue.rescue_lines(df)
+    assert good.columns == ["place", *(f.name for f in RAW_SCHEMA.fields), "rescued"]
+    path = sinks.scratch_path(spark, "rescued")
+    good.write.parquet(path)  # variants are stored and read back
+    good = spark.read.schema(good.schema).parquet(path)
+    told = F.transform_values("rescued", lambda k, v: F.to_json(v))
+    got = {r.place: r for r in good.withColumn("told", told).drop("rescued").collect()}
+    assert sorted(got) == [0, 1, 2, 3, 9]
+    assert {p: r.told for p, r in got.items()} == {
+        0: None, 1: {"title": '{"t":"b"}', "remote": "true", "it's": "[1,2.5]"},
+        2: {"created": '"soon"', "ID": '"other"'}, 3: {"more": '"two"'}, 9: None}
+    assert (got[0].latitude, got[1].id, got[1].title, got[2].created, got[3].title, got[9].id) == ("1.5", "2", None, None, "last", None)
+    assert got[0].created is not None
+    assert sorted((r.place, r.line) for r in broken.collect()) == [(i, _LINES[i]) for i in (4, 5, 6)]
+    report = {r.field: (r.reason, r.lines, r.type) for r in rescue.drift_report(good).collect()}
+    assert report == {"title": ("mistyped", 1, "OBJECT<t: STRING>"), "remote": ("unknown", 1, "BOOLEAN"),
+                      "it's": ("unknown", 1, "ARRAY<DECIMAL(21,1)>"), "created": ("mistyped", 1, "STRING"),
+                      "ID": ("unknown", 1, "STRING"), "more": ("unknown", 1, "STRING")}
+
+
+def test_rescue_refuses_clashing_names_and_takes_no_lines(spark):
+    df = spark.createDataFrame([("x", "{}")], "title string, value string")
+    with pytest.raises(ValueError, match="title"):
+        rescue.rescue_lines(df)
+    good, broken = rescue.rescue_lines(df.select("value").limit(0))
+    assert good.count() == broken.count() == rescue.drift_report(good).count() == 0
