@@ -1,12 +1,17 @@
-"""Queries over periods: campaign periods against job periods (J2 with an end date)."""
+"""Queries over periods (J2 with an end date) and over tables that lie together."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from adpulse import fixtures as fx
 from adpulse.operators.intervals import overlap_join
+from adpulse.operators.performance import clicks_daily
 from adpulse.plans.catalog import register
+from adpulse.sources import bucketed, sinks
 
 # A tenth of all rows on one company; open ends, missing starts, ends before starts, and
 # periods that span everything.
@@ -51,3 +56,23 @@ def period_overlap(spark, sf_dir):
                         F.greatest("campaign_start", "job_start")) + 1
     return pairs.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("jobs"), F.min("job_id").alias("first_job"),
                                             F.sum(shared).cast("long").alias("shared_days"))
+
+
+@register("job_spend_bucketed", f"""
+WITH paid AS (SELECT job_id, date, sum(cost) AS money, count(*) AS clicks, sum(is_applicant) AS hired
+              FROM ({fx.lineitem_as_clicks_sql()}) GROUP BY job_id, date)
+SELECT job_id, date, title, city, company_name, CAST(money AS DOUBLE) AS spend, clicks, CAST(hired AS BIGINT) AS applicants,
+       CAST(sum(money) OVER (PARTITION BY job_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+            AS DOUBLE) AS spend_until_yesterday
+FROM paid JOIN ({fx.jobs_from_parts_sql()}) USING (job_id)""")
+def job_spend_bucketed(spark, sf_dir):
+    """A4, J3 and W4 over jobs and clicks bucketed by job_id: one shuffle, when they are written."""
+    clicks, jobs = fx.lineitem_as_clicks(spark, sf_dir), fx.jobs_from_parts(spark, sf_dir)
+    n = bucketed.buckets_for(clicks.count())
+    run = uuid.uuid4().hex
+    clicks, jobs = (bucketed.write_bucketed(df, f"{name}_{run}", sinks.scratch_path(spark, f"bucketed-{name}"), "job_id", n)
+                    for name, df in (("clicks", clicks), ("jobs", jobs)))
+    before = Window.partitionBy("job_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    return clicks_daily(clicks).join(jobs, "job_id").select(
+        "job_id", "date", "title", "city", "company_name", F.col("spend_sum").cast("double").alias("spend"), "clicks",
+        "applicants", F.sum("spend_sum").over(before).cast("double").alias("spend_until_yesterday"))

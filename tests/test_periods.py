@@ -1,4 +1,4 @@
-"""Period joins and rescued fields against brute force."""
+"""Period joins, rescued fields and bucketed tables against plain forms."""
 
 import datetime as dt
 import random
@@ -11,7 +11,7 @@ from adpulse.operators import rescue
 from adpulse.operators.intervals import overlap_join
 from adpulse.operators.skew import grid_join
 from adpulse.schemas import RAW_SCHEMA
-from adpulse.sources import sinks
+from adpulse.sources import bucketed, sinks
 
 
 def _pairs(left, right, last):
@@ -118,3 +118,28 @@ def test_rescue_refuses_clashing_names_and_takes_no_lines(spark):
         rescue.rescue_lines(df)
     good, broken = rescue.rescue_lines(df.select("value").limit(0))
     assert good.count() == broken.count() == rescue.drift_report(good).count() == 0
+
+
+def test_bucketed_tables_meet_without_a_shuffle(spark):
+    clicks = spark.range(5000).selectExpr("if(id % 3 = 0, 7, id % 400) AS job_id", "id % 5 AS date", "id AS cost")
+    clicks = clicks.unionByName(spark.createDataFrame([(None, 1, 2)], clicks.schema))
+    jobs = spark.range(400).selectExpr("id AS job_id", "concat('t', id) AS title")
+    want = Counter(clicks.groupBy("job_id", "date").agg(F.sum("cost").alias("cost")).join(jobs, "job_id").collect())
+    path = sinks.scratch_path(spark, "bucketed")
+    with_conf = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in with_conf}
+    try:
+        for k, v in with_conf.items():
+            spark.conf.set(k, v)
+        bucketed.write_bucketed(clicks, "clicks_b", f"{path}/clicks", "job_id", 8)
+        bucketed.write_bucketed(jobs, "jobs_b", f"{path}/jobs", "job_id", 8)
+        spark.sql("DROP TABLE clicks_b")  # external: another session finds the folder as it was
+        a = bucketed.open_bucketed(spark, "clicks_b2", f"{path}/clicks", clicks.schema, "job_id", 8)
+        joined = a.groupBy("job_id", "date").agg(F.sum("cost").alias("cost")).join(spark.table("jobs_b"), "job_id")
+        assert Counter(joined.collect()) == want
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SortMergeJoin" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert bucketed.buckets_for(0) == 8 and bucketed.buckets_for(10**9) == 512
