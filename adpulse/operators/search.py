@@ -31,3 +31,18 @@ def latest_k(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
     """
     w = Window.partitionBy(*group_cols).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+
+
+def merge_latest(kept: DataFrame, landed: DataFrame, group_cols: Sequence[str], id_col: str, order: Sequence[Column],
+                 k: int = 20, rank_col: str = "rank") -> DataFrame:
+    """O3 over days: the first ``k`` distinct ids of each group from ``kept``, an earlier result
+    (its ranks are ignored), and the rows ``landed`` since.
+
+    Of an id's versions in a group the first under ``order`` counts.  A row that is not
+    among the first ``k`` of its day is never among those of more days, so the result equals
+    ``k`` of all rows while only the kept ones and the day are read.  ``order`` must tell rows
+    of a group apart for a repeatable result.
+    """
+    rows = kept.select(landed.columns).unionByName(landed)
+    versions = latest_k(rows, [*group_cols, id_col], order, 1, rank_col).drop(rank_col)
+    return latest_k(versions, group_cols, order, k, rank_col)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adpulse import fixtures as fx
-from adpulse.operators import audit_days, carry, keywords
+from adpulse.operators import audit_days, carry, keywords, search
 from adpulse.operators.performance import clicks_daily
 from adpulse.plans.catalog import register
 from adpulse.sources import sinks
@@ -97,3 +97,20 @@ def audit_merged(spark, sf_dir):
                      <= F.lit(audit_days.DISTINCT_ERROR) * F.col("__users")).alias("distinct_in_bound"),
                     ((F.col("__n") == 0) | (F.col("__below") / F.col("__n") <= 0.5 + bound)
                      & (F.col("__upto") / F.col("__n") >= 0.5 - bound)).alias("median_in_bound")))
+
+
+@register("latest_k_merged", """
+WITH seen AS (SELECT user_id, (event_id // 2) % 5000 AS ad, max(ts) AS ts FROM events GROUP BY ALL)
+SELECT user_id, ad, ts, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, ad DESC) AS INTEGER) AS rank FROM seen)
+WHERE rank <= 20""")
+def latest_k_merged(spark, sf_dir):
+    """O3 over three landings: each is merged with the 20 that the ones before have left."""
+    ads = fx.table(spark, sf_dir, "events").select(
+        "user_id", F.expr("(event_id div 2) % 5000").alias("ad"), F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
+    order = [F.col("ts").desc(), F.col("ad").desc()]
+    kept = ads.limit(0).drop("event_id")
+    for day in range(3):
+        landed = ads.filter(F.pmod("event_id", F.lit(3)) == day).drop("event_id")
+        kept = sinks.materialize(search.merge_latest(kept, landed, ["user_id"], "ad", order), f"latest-{day}")
+    return kept

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from adpulse.functions.scalars import keyword_flag
-from adpulse.operators import audit_days, carry, keywords
+from adpulse.operators import audit_days, carry, keywords, search
 from adpulse.sources import sinks
 
 from conftest import SF_SMALL
@@ -142,3 +142,21 @@ def test_audits_merge_without_the_rows(spark):
         assert sum(v < x for v in values) / len(values) <= q + audit_days.RANK_ERROR
         assert sum(v <= x for v in values) / len(values) >= q - audit_days.RANK_ERROR
     assert audit_days.daily_audit(events.limit(0), "day", ["user_id"], ["value"]).count() == 0
+
+
+def test_newest_of_a_search_merge_over_days(spark):
+    rng = random.Random(9)
+    days = [[(rng.choice(["q", "r", None]), rng.randint(1, 30), rng.randint(0, 99), i) for i in range(d * 100, d * 100 + n)]
+            for d, n in enumerate((60, 0, 80, 5))]
+    order = [F.col("at").desc_nulls_last(), F.col("i")]
+    schema = "search string, ad int, at int, i int"
+    kept = spark.createDataFrame([], schema)
+    for rows in days:
+        kept = sinks.materialize(search.merge_latest(kept, spark.createDataFrame(rows, schema), ["search"], "ad", order, 4), "newest")
+    want = set()
+    for name in ("q", "r", None):
+        best = {}
+        for row in sorted((r for d in days for r in d if r[0] == name), key=lambda r: (-r[2], r[3])):
+            best.setdefault(row[1], row)
+        want |= {(*row, n) for n, row in enumerate(list(best.values())[:4], 1)}
+    assert {tuple(r) for r in kept.collect()} == want
