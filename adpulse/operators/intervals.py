@@ -73,6 +73,9 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_sp
     either side.  Rows with a null start or key, or an end before the start, meet
     nothing.  Repeated rows count apart.  Apart from the keys, names must differ.
     """
+    if clash := {c.lower() for c in left.columns} & {c.lower() for c in right.columns} - {k.lower() for k in keys}:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+
     def latest(df: DataFrame, span: tuple[str, str]) -> Column:
         return df.agg(F.max(F.greatest(_units(df, span[0]), _units(df, span[1])))).scalar()
     out = [*left.columns, *(c for c in right.columns if c not in keys)]
@@ -83,7 +86,11 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_sp
     a, b = (sinks.materialize(x, name) for x, name in (
         (_placed(a, "l", "left", "right", _levels(b, "r"), 1), "periods-left"),
         (_placed(b, "r", "right", "left", _levels(a, "l"), 0), "periods-right")))
-    pairs = grid_join(a, b, at, [c for c in a.columns if c not in at], [c for c in b.columns if c not in at], per_task)
+
+    def dealt_by(df: DataFrame) -> list[str]:
+        # Maps and variants have no hash.
+        return [c for c, kind in df.dtypes if c not in at and "map<" not in kind and "variant" not in kind]
+    pairs = grid_join(a, b, at, dealt_by(a), dealt_by(b), per_task)
     later = F.greatest("__ls", "__rs")
     return pairs.filter((later <= F.least("__le", "__re"))
                         & (F.call_function("shiftright", later, F.col("__level")) == F.col("__bin"))).select(*out)

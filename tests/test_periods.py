@@ -66,6 +66,14 @@ def test_dates_and_empty_sides(spark):
     assert not _found(spark, [], right, "date") and not _found(spark, left, [], "date")
 
 
+def test_names_on_both_sides_and_columns_without_a_hash(spark):
+    a, b = _frames(spark, [(1, "a", 1, 5)], [(1, "a", 2, 3)])
+    with pytest.raises(ValueError, match="e2"):
+        overlap_join(a.withColumn("E2", F.lit(1)), b, ["k"], ("s", "e"), ("s2", "e2"))
+    rich = a.withColumns({"m": F.create_map("k", "s"), "v": F.parse_json(F.lit("[1]"))})
+    assert overlap_join(rich, b, ["k"], ("s", "e"), ("s2", "e2"), per_task=0).count() == 1
+
+
 def test_no_inequality_join(spark):
     a, b = _frames(spark, [(1, "a", 1, 5)], [(1, "a", 2, 3)])
     plan = overlap_join(a, b, ["k"], ("s", "e"), ("s2", "e2"))._jdf.queryExecution().executedPlan().toString()
