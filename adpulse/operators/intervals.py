@@ -4,10 +4,11 @@ An inequality join would compare every pair of a key's periods.  Here a period
 lives at the level of its length: at level ``l`` bins are ``2**l`` units wide and
 no narrower than the period, so it touches two bins at most.  Of two periods the
 longer one waits in its own bins and the shorter one looks into the bins of that
-level, again two at most, for every level at which the other side has periods.
-So bin widths follow the lengths that are there, all joins are equi-joins on
+level, again two at most, for every level at which the other side has periods of
+the same keys.  So bin widths follow the lengths that are there, all joins are equi-joins on
 (keys, level, bin), and a period that spans everything costs one more row per
-period of the other side, not a copy of itself per day.
+period of its keys on the other side, not a copy of itself per day.  Periods whose
+keys the other side does not have are left out before anything is copied.
 
 A pair that shares two bins is kept in the one that holds the later start.
 Bins in which very many pairs meet are dealt out by ``skew.grid_join``.
@@ -45,12 +46,13 @@ def _periods(df: DataFrame, span: tuple[str, str], keys: Sequence[str], side: st
     return df.withColumn(level, F.when(length == 0, 0).otherwise(F.length(F.bin(length))))
 
 
-def _levels(periods: DataFrame, side: str) -> Column:
-    """The levels that occur, as the bits of one number."""
-    return F.coalesce(periods.agg(F.bit_or(F.expr(f"shiftleft(1L, __{side}level)"))).scalar(), F.lit(0).cast("long"))
+def _levels(periods: DataFrame, side: str, keys: Sequence[str]) -> DataFrame:
+    """``keys, __levels``: the levels that occur, as the bits of one number."""
+    return periods.groupBy(*keys).agg(F.bit_or(F.expr(f"shiftleft(1L, __{side}level)")).alias("__levels"))
 
 
-def _placed(periods: DataFrame, side: str, own: str, other: str, other_levels: Column, least: int) -> DataFrame:
+def _placed(periods: DataFrame, side: str, own: str, other: str, other_levels: DataFrame, keys: Sequence[str],
+            least: int) -> DataFrame:
     """One row per bin: where a period waits (``own``) and where it looks (``other``), from
     ``least`` levels above its own on."""
     level, s, e = F.col(f"__{side}level"), F.col(f"__{side}s"), F.col(f"__{side}e")
@@ -58,7 +60,8 @@ def _placed(periods: DataFrame, side: str, own: str, other: str, other_levels: C
                      lambda at: (F.getbit("__levels", at) == 1) & (at >= level + least))
     places = F.concat(F.array(F.struct(level.alias("level"), F.lit(own).alias("waits"))),
                       F.transform(looks, lambda at: F.struct(at.alias("level"), F.lit(other).alias("waits"))))
-    rows = periods.withColumn("__levels", other_levels).withColumn("__place", F.explode(places))
+    met = periods.join(other_levels, list(keys)) if keys else periods.crossJoin(other_levels)
+    rows = met.withColumn("__place", F.explode(places))
     rows = rows.withColumns({"__level": F.col("__place.level"), "__waits": F.col("__place.waits")})
     first, last = (F.call_function("shiftright", x, F.col("__level")) for x in (s, e))
     return rows.withColumn("__bin", F.explode(F.sequence(first, last))).drop("__place", "__levels", f"__{side}level")
@@ -84,8 +87,8 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_sp
     at = [*keys, "__level", "__bin", "__waits"]
     # Stored: counted for the hot bins and joined, the same rows both times.
     a, b = (sinks.materialize(x, name) for x, name in (
-        (_placed(a, "l", "left", "right", _levels(b, "r"), 1), "periods-left"),
-        (_placed(b, "r", "right", "left", _levels(a, "l"), 0), "periods-right")))
+        (_placed(a, "l", "left", "right", _levels(b, "r", keys), keys, 1), "periods-left"),
+        (_placed(b, "r", "right", "left", _levels(a, "l", keys), keys, 0), "periods-right")))
 
     def dealt_by(df: DataFrame) -> list[str]:
         # Maps and variants have no hash.

@@ -51,11 +51,20 @@ def period_overlap(spark, sf_dir):
     jobs = items.select(*(F.expr(e).alias(n) for n, e in _JOBS.items()))
     last = F.greatest(campaigns.agg(F.max(F.greatest("campaign_start", "campaign_end"))).scalar(),
                       jobs.agg(F.max(F.greatest("job_start", "job_end"))).scalar())
-    pairs = overlap_join(campaigns, jobs, ["company"], ("campaign_start", "campaign_end"), ("job_start", "job_end"))
-    shared = F.datediff(F.least(F.coalesce("campaign_end", last), F.coalesce("job_end", last)),
-                        F.greatest("campaign_start", "job_start")) + 1
-    return pairs.groupBy("campaign_id").agg(F.count(F.lit(1)).alias("jobs"), F.min("job_id").alias("first_job"),
-                                            F.sum(shared).cast("long").alias("shared_days"))
+    # Rows of a company with the same period meet the same rows, so periods are joined as classes:
+    # the pairs of a hot company follow its different periods, not the square of its rows.
+    campaigns = campaigns.withColumn("campaign_end", F.coalesce("campaign_end", last))
+    jobs = jobs.withColumn("job_end", F.coalesce("job_end", last))
+    period = ["company", "campaign_start", "campaign_end"]
+    running = sinks.materialize(jobs.groupBy("company", "job_start", "job_end").agg(
+        F.count(F.lit(1)).alias("n"), F.min("job_id").alias("first")), "job-periods")
+    pairs = overlap_join(sinks.materialize(campaigns.select(*period).distinct(), "campaign-periods"), running, ["company"],
+                         ("campaign_start", "campaign_end"), ("job_start", "job_end"))
+    shared = F.datediff(F.least("campaign_end", "job_end"), F.greatest("campaign_start", "job_start")) + 1
+    met = pairs.groupBy(*period).agg(F.sum("n").alias("jobs"), F.min("first").alias("first_job"),
+                                     F.sum(shared * F.col("n")).alias("shared_days"))
+    return campaigns.join(met, period).groupBy("campaign_id").agg(
+        F.sum("jobs").alias("jobs"), F.min("first_job").alias("first_job"), F.sum("shared_days").alias("shared_days"))
 
 
 @register("job_spend_bucketed", f"""
