@@ -26,7 +26,7 @@ RESCUED = "rescued"
 
 
 def _is_nested(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).rlike("^(?:OBJECT|ARRAY)"), F.lit(False))
+    return F.coalesce(F.substring(F.schema_of_variant(value), 1, 5).isin("OBJEC", "ARRAY"), F.lit(False))
 
 
 def _is_null(value: Column) -> Column:
@@ -45,11 +45,12 @@ def rescue_lines(lines: DataFrame, schema: StructType = RAW_SCHEMA, text: str =
         raise ValueError(f"columns beside the lines have names of the result: {clash}")
     lines = lines.filter(F.col(text).rlike(r"\S")).withColumn("__all", F.from_json(text, "map<string,variant>"))
     broken = lines.filter(F.col("__all").isNull()).select(*others, F.col(text).alias("line"))
-    # The last of repeated fields, as the typed columns have it.
+    # The last of repeated fields, as the typed columns have it; looked for only where one is repeated.
     names, n = F.map_keys("__all"), F.size("__all")
     last = F.filter(F.map_entries("__all"), lambda e, i: ~F.array_contains(F.slice(names, i + 2, n), e["key"]))
+    fields = F.when(F.size(F.array_distinct(names)) == n, F.col("__all")).otherwise(F.map_from_entries(last))
     good = (lines.filter(F.col("__all").isNotNull())
-            .withColumns({"__fields": F.map_from_entries(last), "__typed": F.from_json(text, schema)}))
+            .withColumns({"__fields": fields, "__typed": F.from_json(text, schema)}))
 
     def typed(f) -> Column:
         value = F.col("__typed")[f.name]
@@ -57,11 +58,13 @@ def rescue_lines(lines: DataFrame, schema: StructType = RAW_SCHEMA, text: str =
             value = F.when(~_is_nested(F.try_element_at("__fields", F.lit(f.name))), value)
         return value.alias(f.name)
 
+    texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+
     def is_drift(name: Column, value: Column) -> Column:
-        drift = ~name.isin([f.name for f in schema.fields])
+        drift = F.when(name.isin(texts), _is_nested(value)).when(~name.isin([f.name for f in schema.fields]), F.lit(True))
         for f in schema.fields:
-            wrong = _is_nested(value) if isinstance(f.dataType, StringType) else F.col("__typed")[f.name].isNull()
-            drift = drift | ((name == f.name) & wrong)
+            if f.name not in texts:
+                drift = drift.when(name == f.name, F.col("__typed")[f.name].isNull())
         return drift & ~_is_null(value)
     rescued = F.map_filter("__fields", is_drift)
     good = good.withColumn(RESCUED, rescued).withColumn(RESCUED, F.when(F.size(RESCUED) > 0, F.col(RESCUED)))
@@ -76,7 +79,8 @@ def read_rescued(spark, path: str, schema: StructType = RAW_SCHEMA) -> tuple[Dat
 def drift_report(good: DataFrame, schema: StructType = RAW_SCHEMA) -> DataFrame:
     """``field, reason, lines, type``: what was rescued, how often, and the type that all its
     values fit into.  The aggregate combines before the shuffle; a field is one row."""
-    found = good.select(F.explode(RESCUED).alias("field", "value"))
+    # The outer form: of a plain explode Spark derives a filter that parses every line once more per field.
+    found = good.select(F.explode_outer(RESCUED).alias("field", "value")).filter("field is not null")
     reason = F.when(F.col("field").isin([f.name for f in schema.fields]), "mistyped").otherwise("unknown")
     return (found.groupBy("field").agg(F.count(F.lit(1)).alias("lines"), F.schema_of_variant_agg("value").alias("type"))
             .select("field", reason.alias("reason"), "lines", "type"))

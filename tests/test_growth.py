@@ -2,11 +2,15 @@
 
 import datetime as dt
 from collections import Counter
+from decimal import Decimal
 
 import duckdb
+import pytest
 
-from adpulse.operators import clicks, intervals
-from adpulse.plans import catalog, q_periods
+from adpulse.operators import clicks, intervals, keywords, rescue
+from adpulse.operators import performance as perf
+from adpulse.plans import catalog, q_mart, q_periods
+from adpulse.sources import sinks
 
 
 def test_days_dealt_out_before_they_are_made(spark):
@@ -56,3 +60,77 @@ def test_periods_without_a_partner_are_not_copied(spark, monkeypatch):
     assert {(r.i, r.j) for r in got.collect()} == {(2, 3)}
     rows = stored["periods-right"]
     assert rows.filter("k = 'c'").count() == 0 and rows.filter("__level > 8").count() == 0
+
+
+def test_drift_parses_a_line_a_fixed_number_of_times(spark):
+    lines = spark.createDataFrame([('{"id":"1","title":{"a":1},"x":1,"x":2}',), ('{"id":"2","id":{"b":[1]},"created":"no"}',),
+                                   ('{"id":"3","title":null,"y":null}',), ("{",), ("{}",)], "value string")
+    good, _ = rescue.rescue_lines(lines)
+    report = rescue.drift_report(good)
+    assert sorted(map(tuple, report.collect())) == [("created", "mistyped", 1, "STRING"), ("id", "mistyped", 1, "OBJECT<b: ARRAY<BIGINT>>"),
+                                                    ("title", "mistyped", 1, "OBJECT<a: BIGINT>"), ("x", "unknown", 1, "BIGINT")]
+    # Parsed for the filter of broken lines, for the fields and for the typed column: not once per field.
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 4
+
+
+def test_only_grams_of_keywords_are_stored(spark, monkeypatch):
+    stored = {}
+    keep = keywords.materialize
+
+    def seen(df, name):
+        stored[name] = keep(df, name)
+        return stored[name]
+    monkeypatch.setattr(keywords, "materialize", seen)
+    texts = spark.createDataFrame([(i, f"word{i} bonus pay{i} health care") for i in range(60)] + [(99, None)], "id int, text string")
+    listed = spark.createDataFrame([("Bonus",), ("health care",), ("zz",), (None,)], "keyword string")
+    hits = keywords.keyword_hits(texts, listed)
+    assert hits.groupBy("keyword").count().rdd.collectAsMap() == {"bonus": 60, "health care": 60}
+    grams = {r.gram for r in stored["word-grams"].collect()}
+    assert grams <= {"bon", "onu", "nus", "hea", "eal", "alt", "lth", "zz"}
+
+
+def _mart_frames(spark):
+    campaigns = spark.createDataFrame([(k, f"c{k % 3}", f"s{k}", 20 if k else 0, 900, 0.5) for k in range(9)] + [(9, None, "s", 1, 1, 0.1)],
+                                      "campaign_id long, company_name string, state string, cpa_target int, budget int, margin double")
+    jobs = spark.createDataFrame([(j, f"t{j}", "x", f"c{j % 4}" if j % 5 else None, "s1") for j in range(20)],
+                                 "job_id long, title string, city string, company_name string, state string")
+    clicks = spark.createDataFrame([(j % 20, dt.date(2025, 8, 1 + j % 7), Decimal(j), j % 2) for j in range(300)] + [(None, None, None, None)],
+                                   "job_id long, date date, cost decimal(12,2), is_applicant int")
+    return campaigns, jobs, clicks
+
+
+def test_mart_computes_a_day_once_for_all_campaigns(spark):
+    campaigns, jobs, clicks = _mart_frames(spark)
+    plan = perf.performance_mart(campaigns, jobs, clicks)._jdf.queryExecution().optimizedPlan().toString()
+    assert "spend_sum" not in plan.split("Join")[0]  # no sum is cast again for each campaign
+
+
+@pytest.mark.parametrize("few", [100_000, 3])
+def test_mart_lies_together_by_date(spark, monkeypatch, few):
+    monkeypatch.setattr(perf, "FEW_CAMPAIGNS", few)
+    frames = _mart_frames(spark)
+    plain = perf.performance_mart(*frames)
+    mart = perf.performance_mart(*frames, materialize=True, by=["date"])
+    assert Counter(map(tuple, mart.collect())) == Counter(map(tuple, plain.collect())) and mart.columns == perf.MART_COLUMNS
+    above = mart._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert ("Rebalance" in above) == (few == 3)  # few campaigns: job-days are shuffled, not the rows
+
+
+def test_mart_write_shuffles_no_fanned_out_rows(spark, tmp_path, monkeypatch):
+    written = []
+    put = sinks.write_swap
+
+    def seen(df, path, cols=()):
+        written.append(df)
+        put(df, path, cols)
+    monkeypatch.setattr(sinks, "write_swap", seen)
+    parts = [(i, f"p{i}", f"b{i % 2}", f"t{i % 5}", 900.0 + i) for i in range(20)]
+    items = [(i % 20, dt.datetime(1995, 1, 1 + i % 9), 10.5 * i, "RN"[i % 2]) for i in range(200)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_retailprice double"
+                          ).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame(items, "l_partkey long, l_shipdate timestamp_ntz, l_extendedprice double, l_returnflag string"
+                          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = q_mart.performance_mart_write(spark, str(tmp_path))
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, q_mart.performance_mart(spark, str(tmp_path)).collect()))
+    above = written[-1]._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "Rebalance" not in above
