@@ -6,9 +6,10 @@ cannot grow.  Here keywords are data:
 1. a keyword's longest part without white space is its anchor; a text that holds the
    keyword has a word that holds the anchor;
 2. words of the corpus, each different one once, are cut into grams of ``GRAM``
-   characters (and shorter ones, for shorter anchors) and counted; an anchor is joined
-   by the rarest of its grams, and ``contains`` settles the pair;
-3. the words found are joined with the texts that hold them, and keywords of several
+   characters (and shorter ones, for shorter anchors); those that an anchor has are stored
+   and counted; an anchor is joined by the rarest of its grams, and ``contains`` settles the pair;
+3. the words found, stored with their keywords, are joined with the texts that hold them (a
+   small table of them without shuffling the words of all texts), and keywords of several
    parts are looked for in those texts as they are written.
 
 Matching ignores case (both sides are lower-cased) and finds parts of words, as the
@@ -56,16 +57,18 @@ def keyword_hits(texts: DataFrame, keywords: DataFrame, text: str = "text", colu
     words = low.select("text_key", F.explode(F.array_distinct(F.split("__text", _SPACE))).alias("word")).filter("word <> ''")
     vocabulary = words.select("word").distinct().withColumn("__letters", F.split("word", ""))
     every = f"sequence(1, {GRAM})"
-    grams = materialize(vocabulary.select("word", F.explode(_grams("word", every)).alias("gram")), "word-grams")
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-
     anchored = materialize(_anchored(keywords, column), "keywords")
-    own = (anchored.select("anchor").distinct().withColumn("__letters", F.split("anchor", ""))
-           .select("anchor", F.explode(_grams("anchor", f"array(least(length(anchor), {GRAM}))")).alias("gram")))
+    own = materialize(anchored.select("anchor").distinct().withColumn("__letters", F.split("anchor", ""))
+                      .select("anchor", F.explode(_grams("anchor", f"array(least(length(anchor), {GRAM}))")).alias("gram")), "anchor-grams")
+    grams = vocabulary.select("word", F.explode(_grams("word", every)).alias("gram"))
+    grams = materialize(grams.join(own.select("gram").distinct(), "gram", "left_semi"), "word-grams")
+    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     # A gram that no word has leaves its anchor without a partner, so an inner join loses nothing.
     rarest = own.join(counts, "gram").groupBy("anchor").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
     holding = grams.join(rarest, "gram").filter(F.contains("word", "anchor")).select("word", "anchor")
-    found = words.join(holding, "word").join(anchored, "anchor").select("text_key", "keyword", "phrase").distinct()
+    holding = materialize(holding.join(anchored, "anchor").select("word", "keyword", "phrase"), "word-keywords")
+    # Stored: single words and phrases read it, and the texts are split for it.
+    found = materialize(words.join(holding, "word").select("text_key", "keyword", "phrase").distinct(), "keyword-words")
     single = found.filter("not phrase").select("text_key", "keyword")
     several = (found.filter("phrase").join(low, "text_key").filter(F.contains("__text", "keyword"))
                .select("text_key", "keyword").distinct())
