@@ -70,9 +70,9 @@ def refresh_mart(campaigns: DataFrame, jobs: DataFrame, base: str, batch: int, a
         sinks.replace_scope(changes, f"{base}/daily", {"batch": batch})
         daily = sinks.materialize(present(_log(spark, base)), "daily")
         dates = sinks.materialize(affected_dates(daily, changes), "dates")
-        days = placed_days(daily, jobs, match_state).join(dates, "date", "left_semi")
-        rows = mart_rows(sinks.materialize(days, "job-daily"), campaigns, match_state, balanced=True)
-        sinks.write_partitions(rows, f"{base}/performance", ["date"])
+        days = sinks.materialize(placed_days(daily, jobs, match_state).join(dates, "date", "left_semi"), "job-daily")
+        rows = mart_rows(days, campaigns, match_state, balanced=True, by=["date"])
+        sinks.write_partitions(rows, f"{base}/performance", ["date"], clustered=True)
         # Dates that lost their last row, at most one for each day of the scope.
         wanted = [r["date"] for r in dates.collect()]
         kept = {r["date"] for r in days.select("date").distinct().collect()}
