@@ -514,6 +514,26 @@ def test_recall_of_nearest_neighbours(spark):
     assert found >= 0.95 * 10 * len(got)
 
 
+def test_blocks_of_vectors_are_sent_once_and_searched_in_groups(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8)) for i in range(900)] + [(2000 + i, rng.normal(size=3)) for i in range(40)]
+    rows += [(3000 + i, rows[0][1]) for i in range(15)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    monkeypatch.setattr(ann, "BLOCKS", 3)
+    monkeypatch.setattr(ann, "QUERIES", 7)
+    found = ann.nearest(df, F.col("vec_id") % 20 == 0, 5)
+    # A join could broadcast the queries, whose size is known before they are sent to every block.
+    assert "Join" not in found._jdf.queryExecution().toString()
+    got = collections.defaultdict(list)
+    for r in found.orderBy("query_id", "rank").collect():
+        got[r.query_id].append((pytest.approx(r.score), r.vec_id))
+    wanted = {q[0]: brute_nearest(rows, q, 5) for q in rows if q[0] % 20 == 0}
+    assert set(got) == set(wanted) and all(len(got[q]) == 5 for q in got)
+    assert got[0] == [(0.0, 3000 + i) for i in range(5)]
+    assert sum(w in got[q] for q in wanted for w in wanted[q]) >= 0.97 * 5 * len(wanted)
+
+
 # --------------------------------------------------------- HTML extraction
 
 ARTICLE = "<h1>A   title</h1><p>First &amp; <b>bo</b>ld&nbsp;words here<!-- x -->, with <a href='#'>a link</a> in it.<p>Next <br>line<ul><li>one item<li>two</ul>"
