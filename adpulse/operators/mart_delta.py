@@ -56,6 +56,10 @@ def _log(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{base}/daily").drop("batch")
 
 
+def _batches(spark: SparkSession, base: str) -> list[str]:
+    return [name for name in sinks.names_in(spark, f"{base}/daily") if name.startswith("batch=")]
+
+
 def refresh_mart(campaigns: DataFrame, jobs: DataFrame, base: str, batch: int, added: DataFrame,
                  removed: DataFrame | None = None, match_state: bool = False) -> Sequence:
     """Take batch ``batch`` into the mart at ``base`` and return the dates that were rewritten.
@@ -66,10 +70,17 @@ def refresh_mart(campaigns: DataFrame, jobs: DataFrame, base: str, batch: int, a
     """
     spark = jobs.sparkSession
     with sinks.scratch(spark):
-        changes = sinks.materialize(daily_changes(added, removed), "changes")
+        changes = daily_changes(added, removed)
         sinks.replace_scope(changes, f"{base}/daily", {"batch": batch})
-        daily = sinks.materialize(present(_log(spark, base)), "daily")
-        dates = sinks.materialize(affected_dates(daily, changes), "dates")
+        # Read back from the log, where they are stored anyway.
+        changes = spark.read.schema(changes.schema).parquet(sinks.scope_path(f"{base}/daily", {"batch": batch}))
+        if _batches(spark, base) == [f"batch={batch}"]:
+            # Nothing was there before: the changes are the daily sums, and all their dates are new.
+            daily, dates = changes.filter("clicks > 0"), changes.select("date").distinct()
+        else:
+            daily = sinks.materialize(present(_log(spark, base)), "daily")
+            dates = affected_dates(daily, changes)
+        dates = sinks.materialize(dates, "dates")
         days = sinks.materialize(placed_days(daily, jobs, match_state).join(dates, "date", "left_semi"), "job-daily")
         rows = mart_rows(days, campaigns, match_state, balanced=True, by=["date"])
         sinks.write_partitions(rows, f"{base}/performance", ["date"], clustered=True)

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -91,6 +92,21 @@ def test_incremental_mart_equals_a_rebuild_and_rewrites_only_what_changed(spark)
     assert written() == after
 
 
+def test_a_batch_stores_its_changes_once_and_the_first_sums_nothing_again(spark, monkeypatch):
+    campaigns, jobs, clicks = _frames(spark)
+    base, stored = sinks.scratch_path(spark, "delta"), []
+    monkeypatch.setattr(sinks, "materialize", lambda df, name, keep=sinks.materialize: stored.append(name) or keep(df, name))
+    delta.refresh_mart(campaigns, jobs, base, 4, clicks)
+    assert "changes" not in stored and "daily" not in stored
+    delta.refresh_mart(campaigns, jobs, base, 4, clicks)  # taken again
+    assert "daily" not in stored
+    assert sorted(delta.read_mart(spark, base, MART_COLUMNS).collect()) == sorted(performance_mart(campaigns, jobs, clicks).collect())
+    delta.refresh_mart(campaigns, jobs, base, 5, clicks)
+    assert "changes" not in stored and "daily" in stored
+    twice = clicks.unionByName(clicks)
+    assert sorted(delta.read_mart(spark, base, MART_COLUMNS).collect()) == sorted(performance_mart(campaigns, jobs, twice).collect())
+
+
 @pytest.mark.parametrize("match_state", [False, True])
 def test_balanced_mart_equals_the_plain_one(spark, match_state):
     campaigns, jobs, clicks = _frames(spark)
@@ -99,6 +115,16 @@ def test_balanced_mart_equals_the_plain_one(spark, match_state):
     assert sorted(mart_rows(jd, campaigns, match_state, balanced=True, per_task=1).collect()) == sorted(plain.collect())
 
 
+def test_rows_for_folders_are_sorted_before_they_are_copied_per_campaign(spark):
+    campaigns, jobs, clicks = _frames(spark)
+    days = sinks.materialize(job_daily(jobs, clicks), "days")
+    rows = mart_rows(days, campaigns, balanced=True, by=["date"])
+    # As a write in folders asks for it: what lies below the join is in order already.
+    plan = rows.sortWithinPartitions("date")._jdf.queryExecution().executedPlan().toString()
+    assert [op for op in re.findall(r"BroadcastHashJoin|Sort \[date", plan)][:2] == ["BroadcastHashJoin", "Sort [date"], plan
+    assert sorted(rows.collect()) == sorted(mart_rows(days, campaigns).collect())
+
+
 def test_a_hot_key_is_spread_without_the_run_time_skew_join(spark):
     n = 30_000
     left = spark.range(n).select(F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).cast("int").alias("k"))
